@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from rxatlas.functions.text import month_text, normalise_postcode, year_text
 from rxatlas.operators.illness import IllnessSpec, illness_item_columns
 from rxatlas.operators.quantiles import exact_percentiles
+from rxatlas.session import materialize
 
 KEYS_MONTH = ["PRACTICE_CODE", "YEAR", "MONTH", "POSTCODE"]
 KEYS_YEAR = ["PRACTICE_CODE", "YEAR", "POSTCODE"]
@@ -151,11 +152,23 @@ def practice_year_table(epd: DataFrame, spec: list[IllnessSpec], index_spec: lis
 
 def practice_index(epd: DataFrame, spec: list[IllnessSpec], index_spec: list[IllnessSpec],
                    min_items: int = 500, lower_clip: float = 0.005,
-                   upper_clip: float = 0.995) -> DataFrame:
-    """C2 without the geography join: T5 per practice, year and postcode."""
+                   upper_clip: float = 0.995, materialized: bool = True) -> DataFrame:
+    """C2 without the geography join: T5 per practice, year and postcode.
+
+    The practice-year percentages (one row per practice and year, small next
+    to the prescription rows) are read by the percentile, clip, mean/std and
+    z passes; with ``materialized`` they are checkpointed once, so the
+    prescription scan and its two aggregations run exactly once and a lost
+    executor does not send the job back to the raw rows.
+    """
     yc = practice_year_table(epd, spec, index_spec, min_items)
     pct = illness_percent(yc, index_spec)
-    z = illness_zscore(illness_clip(pct, index_spec, lower_clip, upper_clip), index_spec)
+    if materialized:
+        pct = materialize(pct)
+    clipped = illness_clip(pct, index_spec, lower_clip, upper_clip)
+    if materialized:
+        clipped = materialize(clipped)
+    z = illness_zscore(clipped, index_spec)
     return composite_index(z, index_spec)
 
 

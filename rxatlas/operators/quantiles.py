@@ -49,33 +49,28 @@ def exact_percentiles(df: DataFrame, group_cols: list[str], value: str, probs: l
                    pos.alias("_pos"), F.floor(pos).cast("long").alias("_r0"),
                    F.ceil(pos).cast("long").alias("_r1"))
     brj = F.broadcast(br) if small_groups else br
+    keys = [*group_cols, "_i", "_p", "_pos", "_r0", "_r1"]
+    # one row per distinct value inside the bracket, plus one null-valued row
+    # counting everything below it; the hot "below" key combines map-side
     counted = (base.join(brj, group_cols)
                .filter(F.col("_v") <= F.col("_H"))
-               .groupBy(*group_cols, "_i", F.when(F.col("_v") >= F.col("_L"), F.col("_v")).alias("_val"))
+               .groupBy(*keys, F.when(F.col("_v") >= F.col("_L"), F.col("_v")).alias("_val"))
                .agg(F.count("*").alias("_c")))
-    below = counted.filter(F.col("_val").isNull()).select(*group_cols, "_i", F.col("_c").alias("_below"))
-    inside = counted.filter(F.col("_val").isNotNull())
-    w = Window.partitionBy(*group_cols, "_i").orderBy("_val") \
+    w = Window.partitionBy(*keys).orderBy(F.col("_val").asc_nulls_first()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (inside.join(br.select(*group_cols, "_i", "_r0", "_r1", "_pos"), group_cols + ["_i"])
-              .join(below, group_cols + ["_i"], "left")
-              .withColumn("_below", F.coalesce("_below", F.lit(0)))
-              .withColumn("_end", F.col("_below") + F.sum("_c").over(w) - 1)
+    ranked = (counted.withColumn("_end", F.sum("_c").over(w) - 1)
               .withColumn("_start", F.col("_end") - F.col("_c") + 1))
-    picks = ranked.groupBy(*group_cols, "_i").agg(
-        F.min(F.when((F.col("_start") <= F.col("_r0")) & (F.col("_r0") <= F.col("_end")), F.col("_val")))
-        .alias("_v0"),
-        F.min(F.when((F.col("_start") <= F.col("_r1")) & (F.col("_r1") <= F.col("_end")), F.col("_val")))
-        .alias("_v1"))
-    res = br.join(picks, group_cols + ["_i"], "left")
+    covers = lambda r: (F.col("_start") <= F.col(r)) & (F.col(r) <= F.col("_end"))
+    picks = ranked.groupBy(*keys).agg(
+        F.min(F.when(covers("_r0"), F.col("_val"))).alias("_v0"),
+        F.min(F.when(covers("_r1"), F.col("_val"))).alias("_v1"))
     frac = F.col("_pos") - F.col("_r0")
     interp = F.when(F.col("_r0") == F.col("_r1"), F.col("_v0")) \
         .otherwise(F.col("_v0") + (F.col("_v1") - F.col("_v0")) * frac)
     ok = F.col("_v0").isNotNull() & F.col("_v1").isNotNull()
-    exact = res.filter(ok).select(*group_cols, F.col("_p").alias("p"), interp.alias(value))
-    failed = res.filter(~ok).select(*group_cols, "_i", "_p", "_pos", "_r0", "_r1")
-    fallback = _fallback(base, failed, group_cols, value)
-    return exact.unionByName(fallback)
+    exact = picks.filter(ok).select(*group_cols, F.col("_p").alias("p"), interp.alias(value))
+    failed = picks.filter(~ok).select(*group_cols, "_i", "_p", "_pos", "_r0", "_r1")
+    return exact.unionByName(_fallback(base, failed, group_cols, value))
 
 
 def _fallback(base: DataFrame, failed: DataFrame, group_cols, value) -> DataFrame:

@@ -361,9 +361,9 @@ ORACLE["practice_area_distance"] = with_(XY, AREAS) + """SELECT t.code, xy.PRACT
 
 ORACLE["knn_neighbours"] = with_(*GEO) + """SELECT YEAR, code, PRACTICE_CODE, round(sqrt(d2), 6) AS distance,
   CAST(rk AS BIGINT) AS rank FROM ranked WHERE rk <= 5"""
-ORACLE["idw_weights"] = with_(*GEO) + """, kept AS (SELECT * FROM ranked WHERE rk <= 5),
+ORACLE["idw_weights"] = with_(*GEO) + """, kw AS (SELECT * FROM ranked WHERE rk <= 5),
 w AS (SELECT *, bool_or(d2 = 0) OVER (PARTITION BY YEAR, code) AS hit,
-             SUM(CASE WHEN d2 > 0 THEN 1.0 / sqrt(d2) END) OVER (PARTITION BY YEAR, code) AS den FROM kept)
+             SUM(CASE WHEN d2 > 0 THEN 1.0 / sqrt(d2) END) OVER (PARTITION BY YEAR, code) AS den FROM kw)
 SELECT YEAR, code, PRACTICE_CODE, round(CASE WHEN hit THEN NULL ELSE (1.0 / sqrt(d2)) / den END, 6) AS weight FROM w"""
 
 

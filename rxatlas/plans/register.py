@@ -44,13 +44,32 @@ SINGLE_ILLNESS = "Depression"
 AREA_COL = "laua"
 
 
+_MEMO: dict = {}
+
+
 def query(name):
+    """Register ``fn``; each run starts with an empty memo, so a query reuses
+    its own intermediate results (e.g. the checkpointed practice index) but
+    never another query's."""
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark, sf):
+            _MEMO.clear()
+            try:
+                return fn(spark, sf)
+            finally:
+                _MEMO.clear()
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         return fn
     return deco
 
 
+def _memo(key, build):
+    if key not in _MEMO:
+        _MEMO[key] = build()
+    return _MEMO[key]
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[F.round(F.col(c), digits).alias(c) if t in ("double", "float") else F.col(c)
                        for c, t in df.dtypes])
@@ -79,8 +98,9 @@ def _dim(spark, sf):
 
 
 def _pindex(spark, sf, index_spec=None):
-    return idx.practice_index(_epd(spark, sf), _spec(), index_spec or _index_spec(),
-                              min_items=fx.FIXTURE_MIN_ITEMS)
+    spec = index_spec or _index_spec()
+    return _memo(("pindex", sf, tuple(s.column for s in spec)), lambda: idx.practice_index(
+        _epd(spark, sf), _spec(), spec, min_items=fx.FIXTURE_MIN_ITEMS))
 
 
 def _nspl_e(spark, sf):

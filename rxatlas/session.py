@@ -65,3 +65,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint dir for a written table."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"rxatlas-{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` to the shared checkpoint folder and read it
+    back (reliable checkpoint, survives executor loss). For small derived
+    tables that several later steps read."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
