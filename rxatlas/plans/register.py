@@ -160,7 +160,8 @@ def _area_mean(spark, sf):
 
 @query("scan_epd_typed")
 def q_scan_epd_typed(spark, sf):
-    return rounded(_epd(spark, sf))
+    """The all-text month typed by the reader's casts."""
+    return rounded(src_epd.type_epd(fx.epd_raw(spark, sf)))
 
 
 @query("epd_year_slice")

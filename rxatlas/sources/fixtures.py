@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxatlas.schemas import AREA  # noqa: F401  (shape reference)
+from rxatlas.schemas import EPD_COLUMNS
 
 AREA_SIDE = 20000.0
 GRID_COLS = 5
@@ -21,18 +21,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _practice_code(sk):
-    return F.format_string("Y%05d", sk)
+    """'Y' + key padded to five digits (longer keys kept whole, never cut)."""
+    s = sk.cast("string")
+    return F.concat(F.lit("Y"), F.when(sk < 100000, F.lpad(s, 5, "0")).otherwise(s))
 
 
-def epd_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T1 as it would come off a CSV: every column a string."""
+def _epd_columns(spark: SparkSession, sf_dir: str):
     li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity",
                                                  "l_extendedprice", "l_shipdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
     j = li.join(part, li.l_partkey == part.p_partkey)
     sk = F.col("l_suppkey")
     ym = (F.year("l_shipdate") + 20) * 100 + F.month("l_shipdate")
-    return j.select(
+    return j, [
         _practice_code(sk).alias("PRACTICE_CODE"),
         F.concat(F.lit("ab"), F.floor(sk / 10).cast("string"), F.lit(" "),
                  (sk % 10).cast("string"), F.lit("cd")).alias("POSTCODE"),
@@ -40,16 +41,23 @@ def epd_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.initcap("p_name").alias("CHEMICAL_SUBSTANCE_BNF_DESCR"),
         F.concat_ws(" ", "p_name", "p_type", F.concat(F.col("p_size").cast("string"), F.lit("mg")))
         .alias("BNF_DESCRIPTION"),
-        F.col("l_quantity").cast("bigint").cast("string").alias("ITEMS"),
-        (F.col("l_quantity") * F.col("p_size")).cast("string").alias("TOTAL_QUANTITY"),
-        F.col("l_extendedprice").cast("string").alias("ACTUAL_COST"),
-    )
+        F.col("l_quantity").cast("bigint").alias("ITEMS"),
+        (F.col("l_quantity") * F.col("p_size")).alias("TOTAL_QUANTITY"),
+        F.col("l_extendedprice").alias("ACTUAL_COST"),
+    ]
+
+
+def epd_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 as it would come off a CSV: every column a string."""
+    j, cols = _epd_columns(spark, sf_dir)
+    typed = j.select(*cols)
+    return typed.select(*[F.col(c).cast("string").alias(c) for c in EPD_COLUMNS])
 
 
 def epd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T1 typed (the three measure columns numeric)."""
-    from rxatlas.sources.epd import type_epd
-    return type_epd(epd_raw(spark, sf_dir))
+    """T1 typed (the three measure columns numeric), built directly."""
+    j, cols = _epd_columns(spark, sf_dir)
+    return j.select(*cols)
 
 
 def _mapped_suppliers(spark, sf_dir) -> DataFrame:
