@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rxatlas.session import materialize
+
 LEVELS = 20
 MAX_TARGETS_PER_BLOCK = 50_000
 
@@ -71,6 +73,7 @@ def knn_points(targets: DataFrame, points: DataFrame, part_cols: list[str], k: i
                levels: int = LEVELS) -> DataFrame:
     """Per (partition, target): folded locations within the k nearest, ties
     kept. Columns: part_cols, code, x, y, n, sz, d2, rank."""
+    points = materialize(points)  # folded locations: small, read four times below
     fr = _frame(points, targets)
     if fr is None:
         return points.limit(0).select(*part_cols, F.lit(None).cast("string").alias("code"),
@@ -98,9 +101,10 @@ def knn_points(targets: DataFrame, points: DataFrame, part_cols: list[str], k: i
                   (F.col("tcy") + F.col("o.dy")).alias("cy")))
     blocks = (tl.join(counts, ["L", "cx", "cy"])
               .groupBy(*part_cols, "code", "L").agg(F.sum("cnt").alias("block")))
-    chosen = (blocks.join(F.broadcast(totals), part_cols)  # one row per partition (year)
-              .filter(F.col("block") >= F.least(F.lit(k), F.col("total")))
-              .groupBy(*part_cols, "code").agg(F.max("L").alias("L")))
+    chosen = materialize(
+        blocks.join(F.broadcast(totals), part_cols)  # one row per partition (year)
+        .filter(F.col("block") >= F.least(F.lit(k), F.col("total")))
+        .groupBy(*part_cols, "code").agg(F.max("L").alias("L")))  # one row per (year, area)
     used = sorted(r[0] for r in chosen.select("L").distinct().collect())  # <= levels+1 ints
     if not used:
         used = [0]

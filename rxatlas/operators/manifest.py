@@ -114,10 +114,12 @@ def pending_months(wanted: DataFrame, group_manifest: DataFrame, written: DataFr
     return w.join(valid_groups(group_manifest, written), "name", "left_anti")
 
 
-def latest_state(log: DataFrame, key: str = "name", order: str = "event_time") -> DataFrame:
+def latest_state(log: DataFrame, key: str = "name", order: str = "event_time",
+                 tie_break: str | None = None) -> DataFrame:
     """K6: append-only manifest log -> latest row per name. A name's window
     holds only its own few events."""
-    w = Window.partitionBy(key).orderBy(F.col(order).desc(), F.col("url").desc())
+    cols = [F.col(order).desc()] + ([F.col(tie_break).desc()] if tie_break else [])
+    w = Window.partitionBy(key).orderBy(*cols)
     return log.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 

@@ -573,7 +573,7 @@ def q_manifest_latest(spark, sf):
     second = r.filter(F.col("m") % 3 == 2).select(
         "name", F.concat(F.col("url"), F.lit("?v2")).alias("url"), F.lit(2).alias("event_no"))
     log = first.unionByName(second).withColumnRenamed("event_no", "event_time")
-    return mf.latest_state(log).select("name", "url", F.col("event_time").alias("event_no"))
+    return mf.latest_state(log, tie_break="url").select("name", "url", F.col("event_time").alias("event_no"))
 
 
 @query("lookup_staleness")
