@@ -115,3 +115,8 @@ def schema_contract(raws: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def first_row(df: DataFrame) -> DataFrame:
+    """The column list and one row of a new lookup file."""
+    return df.limit(1)
