@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxatlas.functions.text import year_text
+from rxatlas.session import spread
 from rxatlas.schemas import EPD_MEASURE_TYPES
 
 
@@ -34,7 +35,7 @@ def read_epd_csv(spark: SparkSession, path: str, year: int | None = None,
         r = r.option("pathGlobFilter", f"*_{year}*.csv")
     for k, v in options.items():
         r = r.option(k, v)
-    return type_epd(r.csv(path))
+    return type_epd(spread(r.csv(path)))
 
 
 def year_slice(epd: DataFrame, year: int) -> DataFrame:

@@ -27,8 +27,9 @@ def _practice_code(sk):
 
 
 def _epd_columns(spark: SparkSession, sf_dir: str):
-    li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity",
-                                                 "l_extendedprice", "l_shipdate")
+    from rxatlas.session import spread
+    li = spread(table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity",
+                                                        "l_extendedprice", "l_shipdate"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
     j = li.join(part, li.l_partkey == part.p_partkey)
     sk = F.col("l_suppkey")
