@@ -116,17 +116,21 @@ def neighbour_pairs(areas: DataFrame, cell: float | None = None) -> DataFrame:
                 .select(F.col("a.code").alias("code"), F.col("b.code").alias("nb")).distinct())
 
     # containment without edge contact: one vertex per part against the
-    # other area's rings, candidates from the bounding-box cells
-    reps = areas.select("code", F.explode(F.expr("transform(parts, p -> p[0][0])")).alias("v")) \
-        .select(F.col("code").alias("pcode"), F.col("v.x").alias("px"), F.col("v.y").alias("py"),
-                F.floor(F.col("v.x") / g).cast("bigint").alias("cx"),
-                F.floor(F.col("v.y") / g).cast("bigint").alias("cy"))
+    # other area's rings. Candidates come from a second grid sized by the mean
+    # bounding-box side, so a box covers a few cells however detailed the
+    # boundary's edges are.
     verts = F.flatten(F.flatten("parts"))
     boxes = areas.select("code", "parts",
                          F.array_min(F.transform(verts, lambda v: v["x"])).alias("minx"),
                          F.array_min(F.transform(verts, lambda v: v["y"])).alias("miny"),
                          F.array_max(F.transform(verts, lambda v: v["x"])).alias("maxx"),
                          F.array_max(F.transform(verts, lambda v: v["y"])).alias("maxy"))
+    side = boxes.agg(F.avg(F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")))).first()[0]
+    g = max(g, float(side or 0.0))
+    reps = areas.select("code", F.explode(F.expr("transform(parts, p -> p[0][0])")).alias("v")) \
+        .select(F.col("code").alias("pcode"), F.col("v.x").alias("px"), F.col("v.y").alias("py"),
+                F.floor(F.col("v.x") / g).cast("bigint").alias("cx"),
+                F.floor(F.col("v.y") / g).cast("bigint").alias("cy"))
     bx, by = _cells(F.col("minx"), F.col("miny"), F.col("maxx"), F.col("maxy"), g)
     bcells = boxes.select("code", "parts", "minx", "miny", "maxx", "maxy", bx.alias("cx")) \
         .select("code", "parts", "minx", "miny", "maxx", "maxy", "cx",
