@@ -42,17 +42,14 @@ def fold_points(sources: DataFrame, part_cols: list[str], value: str) -> DataFra
 
 
 def _frame(points: DataFrame, targets: DataFrame):
-    b = points.agg(F.min("x").alias("a"), F.min("y").alias("b"),
-                   F.max("x").alias("c"), F.max("y").alias("d")).first()
-    t = targets.agg(F.min("tx").alias("a"), F.min("ty").alias("b"),
-                    F.max("tx").alias("c"), F.max("ty").alias("d")).first()
-    vals = [v for v in (b.a, t.a) if v is not None], [v for v in (b.b, t.b) if v is not None], \
-        [v for v in (b.c, t.c) if v is not None], [v for v in (b.d, t.d) if v is not None]
-    if not all(vals):
+    """Joint bounding box of locations and targets (one scalar job)."""
+    xy = points.select("x", "y").unionByName(targets.select(F.col("tx").alias("x"), F.col("ty").alias("y")))
+    b = xy.agg(F.min("x").alias("a"), F.min("y").alias("b"),
+               F.max("x").alias("c"), F.max("y").alias("d")).first()
+    if b.a is None:
         return None
-    ox, oy, mx, my = min(vals[0]), min(vals[1]), max(vals[2]), max(vals[3])
-    s0 = max(mx - ox, my - oy) * 1.000001 + 1.0
-    return ox, oy, s0
+    s0 = max(b.c - b.a, b.d - b.b) * 1.000001 + 1.0
+    return b.a, b.b, s0
 
 
 def _offsets(r: int):

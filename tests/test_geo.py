@@ -125,3 +125,17 @@ def test_neighbours_hole_and_island(spark):
 def test_missing_value_flag_is_false(spark):
     df = spark.createDataFrame([(None,), (float("nan"),), (0.0,)], "v double")
     assert [r.h for r in df.select(adj.high_flag("v", 0.0).alias("h")).collect()] == [False, False, True]
+
+
+def test_idw_all_in_target_blocks(spark):
+    rng = np.random.default_rng(11)
+    s = [("Y", f"p{i}", float(x), float(y), float(v)) for i, (x, y, v) in
+         enumerate(zip(rng.integers(0, 100, 40), rng.integers(0, 100, 40), rng.normal(size=40)))]
+    t = [(f"a{i}", float(x) + 0.5, float(y)) for i, (x, y) in
+         enumerate(zip(rng.integers(0, 100, 7), rng.integers(0, 100, 7)))]
+    pts = knn.fold_points(_sources(spark, s), ["YEAR"], "v")
+    got = {r.code: r.value for r in knn.idw_all(_targets(spark, t), pts, ["YEAR"], block=3).collect()}
+    exp = _brute(t, s)
+    assert set(got) == set(exp)
+    for c, v in exp.items():
+        assert got[c] == pytest.approx(v, rel=1e-9)
