@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 100_000
+DEFAULT_ACCURACY = 10_000
 
 
 def exact_percentiles(df: DataFrame, group_cols: list[str], value: str, probs: list[float],
