@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rxatlas.session import materialize
+
 RING_MOMENTS = """
 aggregate(sequence(0, size({r}) - 2), named_struct('a', 0D, 'mx', 0D, 'my', 0D),
   (acc, i) -> named_struct(
@@ -98,20 +100,59 @@ aggregate(flatten(parts), 0, (acc, r) -> acc + size(filter(sequence(0, size(r) -
 """
 
 
-def neighbour_pairs(areas: DataFrame, cell: float | None = None) -> DataFrame:
+HOT_CELL_EDGES = 2000
+MAX_SPLITS = 12
+
+
+def _edge_cells(e: DataFrame, g: float, hot_limit: int, max_splits: int) -> DataFrame:
+    """(code, s, L, cx, cy): each edge in every grid cell its box covers.
+
+    A cell holding more than ``hot_limit`` edges is split into its four
+    children, and its edges move to the children their box covers, until
+    no cell is hot (a few rounds of small driver-side control; the data
+    stays distributed). Two edges that meet share a cell at the finest
+    level reached there, so the equi-join on (L, cx, cy) stays exact
+    while no cell's pair count grows with a concentration of edges.
+    """
+    s = F.struct("x1", "y1", "x2", "y2").alias("s")
+    lo_x, hi_x = F.least("s.x1", "s.x2"), F.greatest("s.x1", "s.x2")
+    lo_y, hi_y = F.least("s.y1", "s.y2"), F.greatest("s.y1", "s.y2")
+    ec = (e.select("code", s, F.lit(0).alias("L"))
+          .select("code", "s", "L",
+                  F.explode(F.sequence(F.floor(lo_x / g).cast("bigint"), F.floor(hi_x / g).cast("bigint")))
+                  .alias("cx"))
+          .select("code", "s", "L", "cx",
+                  F.explode(F.sequence(F.floor(lo_y / g).cast("bigint"), F.floor(hi_y / g).cast("bigint")))
+                  .alias("cy")))
+    for _ in range(max_splits):
+        hot = ec.groupBy("L", "cx", "cy").count().filter(F.col("count") > hot_limit).drop("count")
+        if hot.limit(1).count() == 0:
+            break
+        ec = materialize(ec)
+        inside = ec.join(F.broadcast(materialize(hot)), ["L", "cx", "cy"], "left_semi")  # hot cells: few
+        rest = ec.join(F.broadcast(hot), ["L", "cx", "cy"], "left_anti")
+        gl = F.lit(g) / F.pow(F.lit(2.0), F.col("L") + 1)
+        kids = (inside.select("code", "s", (F.col("L") + 1).alias("L"), "cx", "cy", gl.alias("gl"))
+                .select("code", "s", "L", "cy", "gl", F.explode(F.sequence(
+                    F.greatest(F.floor(lo_x / F.col("gl")).cast("bigint"), 2 * F.col("cx")),
+                    F.least(F.floor(hi_x / F.col("gl")).cast("bigint"), 2 * F.col("cx") + 1))).alias("cx"))
+                .select("code", "s", "L", "cx", F.explode(F.sequence(
+                    F.greatest(F.floor(lo_y / F.col("gl")).cast("bigint"), 2 * F.col("cy")),
+                    F.least(F.floor(hi_y / F.col("gl")).cast("bigint"), 2 * F.col("cy") + 1))).alias("cy")))
+        ec = rest.unionByName(kids)
+    return ec
+
+
+def neighbour_pairs(areas: DataFrame, cell: float | None = None,
+                    hot_limit: int = HOT_CELL_EDGES, max_splits: int = MAX_SPLITS) -> DataFrame:
     """(code, nb) for every pair of areas that are not disjoint, both
     directions, each area with itself included."""
     e = edges(areas)
     g = float(cell) if cell else default_cell(e)
-    cx, cy = _cells(F.least("x1", "x2"), F.least("y1", "y2"), F.greatest("x1", "x2"),
-                    F.greatest("y1", "y2"), g)
-    ec = e.select("code", F.struct("x1", "y1", "x2", "y2").alias("s"), cx.alias("cx")) \
-        .select("code", "s", "cx", F.explode(F.sequence(
-            F.floor(F.least("s.y1", "s.y2") / g).cast("bigint"),
-            F.floor(F.greatest("s.y1", "s.y2") / g).cast("bigint"))).alias("cy"))
+    ec = _edge_cells(e, g, hot_limit, max_splits)
     a, b = ec.alias("a"), ec.alias("b")
-    touching = (a.join(b, (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy"))
-                       & (F.col("a.code") < F.col("b.code")))
+    touching = (a.join(b, (F.col("a.L") == F.col("b.L")) & (F.col("a.cx") == F.col("b.cx"))
+                       & (F.col("a.cy") == F.col("b.cy")) & (F.col("a.code") < F.col("b.code")))
                 .filter(_segments_meet("a.s", "b.s"))
                 .select(F.col("a.code").alias("code"), F.col("b.code").alias("nb")).distinct())
 

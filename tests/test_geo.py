@@ -139,3 +139,17 @@ def test_idw_all_in_target_blocks(spark):
     assert set(got) == set(exp)
     for c, v in exp.items():
         assert got[c] == pytest.approx(v, rel=1e-9)
+
+
+def test_hot_cells_are_split_and_pairs_unchanged(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(12):           # a dense cluster of small squares plus a few large ones
+        x, y = float(rng.integers(0, 40)), float(rng.integers(0, 40))
+        rows.append((f"s{i}", [[_square(x, y, 3)]]))
+    rows += [("L1", [[_square(0, 0, 50)]]), ("L2", [[_square(50, 0, 50)]]), ("L3", [[_square(200, 200, 10)]])]
+    areas = spark.createDataFrame(rows, AREA)
+    plain = {(r.code, r.nb) for r in adj.neighbour_pairs(areas, cell=100.0, hot_limit=10 ** 9).collect()}
+    split = {(r.code, r.nb) for r in adj.neighbour_pairs(areas, cell=100.0, hot_limit=4).collect()}
+    assert plain == split
+    assert ("L1", "L2") in split and ("L3", "L3") in split
