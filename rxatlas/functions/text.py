@@ -83,10 +83,9 @@ def name_rejection(name) -> Column:
     Checks, in order: length 10, prefix, year >= 2014, month 1..12.
     """
     n = _c(name)
-    y = F.expr("try_cast(substring(right({0}, 6), 1, 4) as int)".format(_sql(name))) \
-        if isinstance(name, str) else None
-    m = F.expr("try_cast(substring(right({0}, 6), 5, 2) as int)".format(_sql(name))) \
-        if isinstance(name, str) else None
+    suffix = F.right(n, F.lit(6))
+    y = suffix.substr(1, 4).try_cast("int")
+    m = suffix.substr(5, 2).try_cast("int")
     return (F.when(n.isNull(), F.lit("missing"))
             .when(F.length(n) != 10, F.lit("length"))
             .when(F.substring(n, 1, 4) != F.lit(DATASET_PREFIX), F.lit("prefix"))

@@ -51,7 +51,7 @@ def run_incremental_grouping(spark: SparkSession, landing_dir: str, target_dir:
     """Process every newly landed file once, then stop. Returns the query
     (already finished). ``checkpoint_location`` must be shared storage."""
     stream = (spark.readStream.schema(RAW_SCHEMA).option("header", True)
-              .option("pathGlobFilter", "*.csv").csv(landing_dir))
+              .option("pathGlobFilter", "*.csv*").csv(landing_dir))  # plain or compressed
     q = (stream.select("YEAR_MONTH").writeStream
          .foreachBatch(lambda df, _epoch: _regroup(spark, landing_dir, target_dir, manifest_dir,
                                                     medication_column, measure, df))

@@ -51,3 +51,9 @@ def test_dataset_name_parts(spark):
     df = spark.createDataFrame([(2024, 3)], "y int, m int")
     n = df.select(T.dataset_name("y", "m").alias("n")).first().n
     assert n == "EPD_202403"
+
+
+def test_name_rejection_accepts_columns(spark):
+    df = spark.createDataFrame([("epd_202401",), ("EPD_202401",)], "n string")
+    got = [r.r for r in df.select(T.name_rejection(F.upper("n")).alias("r")).collect()]
+    assert got == [None, None]
