@@ -11,8 +11,10 @@ Hot groups: equal sets fold into one class first (partial aggregation). In a
 bucket every class is compared with the bucket's smallest id only, so a group
 of m near copies costs m comparisons. After the components of those links are
 known, only buckets that still hold classes of different components are
-compared further, in blocks inside which no pair is emitted unless its estimate
-passes. No bucket is capped.
+compared further, in blocks inside a task: first on the estimates, which marks
+the members that may still link, then those members on their full sets. Only
+links that join two components leave a task, never the pairs. No bucket is
+capped.
 
 Defined cases: null or blank text has the empty set and links with nothing;
 rows that share a doc_id count as one document (and are all returned); a null
@@ -214,44 +216,85 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _mixed_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components inside a bucket whose estimate passes.
-    ``members``: key, rep, component, n_shingles, s0...; a bucket of m is dealt
-    out as pairs of blocks of about BLOCK rows."""
-    size = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
-    m = members.join(size, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
-    dealt = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
-        "rep", "component", "n_shingles", *[f"s{i}" for i in range(WORDS64)])
-    least = least_estimate(percent / 100)
+def _blocks(rows: DataFrame, size: int, *more: str) -> DataFrame:
+    """Rows (key, rep, ...) of each key dealt out as pairs (i <= j) of blocks
+    of about ``size`` rows, sorted for streaming."""
+    n = rows.groupBy("key").agg(F.ceil(F.count("*") / size).cast("int").alias("n"))
+    m = rows.join(n, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("n")).cast("int"))
+    return (m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+            .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
+                    "rep", "component", "n_shingles", *[f"s{i}" for i in range(WORDS64)], *more)
+            .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
+
+
+class _Block:
+    """One pair of blocks: which rows may still link, by size, component and estimate."""
+
+    def __init__(self, g: pa.RecordBatch, percent: int):
+        i, j = g.column(1)[0].as_py(), g.column(2)[0].as_py()
+        own, self.rep, comp, self.n = (g.column(c).to_numpy(zero_copy_only=False) for c in range(3, 7))
+        self.s = np.stack([g.column(7 + c).to_numpy(zero_copy_only=False) for c in range(WORDS64)], 1).view(U)
+        _, self.comp = np.unique(comp, return_inverse=True)
+        self.left, self.right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        self.same, self.percent, self.least = i == j, percent, least_estimate(percent / 100)
+
+    def candidates(self, k: int) -> np.ndarray:
+        to = self.right[self.right > k] if self.same else self.right
+        n, p = self.n, self.percent
+        to = to[(self.comp[to] != self.comp[k]) & (100 * np.minimum(n[to], n[k]) >= p * np.maximum(n[to], n[k]))]
+        x = self.s[to] ^ self.s[k]
+        x |= x >> U(1)
+        x |= x >> U(2)
+        d = np.bitwise_count(x & U(LOW_LANE)).sum(1, dtype=np.int64)
+        return to[estimate_from_differing(d) >= self.least]
+
+
+def _open_members(members: DataFrame, percent: int) -> DataFrame:
+    """(key, rep) of those members of a bucket that may link to a member of
+    another component, going by the estimate. No pair leaves a task."""
+    def run(batches):
+        for g in _streamed(batches, 3):
+            block = _Block(g, percent)
+            marked = np.zeros(g.num_rows, bool)
+            for k in block.left:
+                to = block.candidates(k)
+                if len(to):
+                    marked[k] = marked[to] = True
+            if marked.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(g.column(0).to_numpy()[marked]), pa.array(block.rep[marked])], names=["key", "rep"])
 
+    return _blocks(members, BLOCK).mapInArrow(run, "key long, rep long").distinct()
+
+
+def _joining_links(members: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b), confirmed on the full sets, that join different components
+    of a bucket: enough of them to keep what is connected connected, at most
+    one for each component and block. ``members`` also has text."""
     def run(batches):
         for g in _streamed(batches, 3):
-            i, j = g.column(1)[0].as_py(), g.column(2)[0].as_py()
-            own, rep, comp, n = (g.column(c).to_numpy(zero_copy_only=False) for c in range(3, 7))
-            s = np.stack([g.column(7 + c).to_numpy(zero_copy_only=False) for c in range(WORDS64)], 1).view(U)
-            left = np.flatnonzero(own == i)
-            right = np.flatnonzero(own == j)
-            out_a, out_b = [], []
-            for k in left:
-                to = right[right > k] if i == j else right
-                to = to[(comp[to] != comp[k]) & (100 * np.minimum(n[to], n[k]) >= percent * np.maximum(n[to], n[k]))]
+            block = _Block(g, percent)
+            h, ptr = sets(g.column("text"), width)
+            values, h = np.unique(h, return_inverse=True)
+            size, flag = np.diff(ptr), np.zeros(len(values), np.int32)
+            a, b = [], []
+            for k in block.left:
+                to = block.candidates(k)
                 if not len(to):
                     continue
-                x = s[to] ^ s[k]
-                x |= x >> U(1)
-                x |= x >> U(2)
-                d = np.bitwise_count(x & U(LOW_LANE)).sum(1, dtype=np.int64)
-                to = to[estimate_from_differing(d) >= least]
-                if len(to):
-                    out_a.append(np.minimum(rep[to], rep[k]))
-                    out_b.append(np.maximum(rep[to], rep[k]))
-            if out_a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))],
-                                                 names=["a", "b"])
+                flag[h[ptr[k]:ptr[k + 1]]] = 1
+                both = np.array([flag[h[ptr[x]:ptr[x + 1]]].sum() for x in to]) if len(to) < 64 else np.add.reduceat(
+                    np.append(flag[h], 0), np.minimum(ptr[:-1], len(h)))[to]
+                flag[h[ptr[k]:ptr[k + 1]]] = 0
+                for x in to[(size[to] > 0) & (100 * both >= percent * (size[to] + size[k] - both))]:
+                    if block.comp[x] != block.comp[k]:
+                        a.append(min(block.rep[x], block.rep[k]))
+                        b.append(max(block.rep[x], block.rep[k]))
+                        block.comp[block.comp == block.comp[x]] = block.comp[k]
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return (dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInArrow(run, "a long, b long").distinct())
+    return _blocks(members, LEADER_BLOCK, "text").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -286,9 +329,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     members = placed.join(mixed.select("key"), "key", "left_semi").join(s, "rep").select(
         "key", "rep", "component", "n_shingles", *words64)
-    more = stored(_mixed_pairs(members, percent), "minhash-pairs")
-    links = links.union(confirmed(more, texts, width, percent))
-    groups = components(links, "minhash-all")
+    members = stored(members, "minhash-members")
+    still = _open_members(members, percent)
+    open_rows = members.join(still, ["key", "rep"]).join(texts.withColumnRenamed("doc_id", "rep"), "rep").select(
+        "key", "rep", "component", "n_shingles", *words64, "text")
+    more = stored(_joining_links(open_rows, width, percent), "minhash-joining")
+    groups = components(links.union(more), "minhash-all")
 
     of_class = classes.join(groups.withColumnRenamed("id", "rep"), "rep", "left").select(
         "f1", "f2", "n_shingles", F.coalesce("component", "rep").alias("component"))
