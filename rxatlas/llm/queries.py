@@ -27,3 +27,23 @@ def op5_minhash_neardup(spark, sf_dir):
     from rxatlas.llm.minhash import near_duplicates
     found = near_duplicates(common.table(spark, sf_dir, "documents"), width=4, percent=80)
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+def vocabulary() -> str:
+    """Default place of the vocabulary file."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op8_cost_packing(spark, sf_dir):
+    """All documents packed into sequences of 4096 tokens."""
+    from rxatlas.llm.packing import pack
+    return pack(common.table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query
+def op9_bpe_forced(spark, sf_dir):
+    """Digests of every document's ids and of their decoding."""
+    from rxatlas.llm.bpe import encode_digests
+    return encode_digests(common.table(spark, sf_dir, "documents"), vocabulary())
