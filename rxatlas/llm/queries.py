@@ -47,3 +47,17 @@ def op9_bpe_forced(spark, sf_dir):
     """Digests of every document's ids and of their decoding."""
     from rxatlas.llm.bpe import encode_digests
     return encode_digests(common.table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query
+def op4_toxicity_kernel(spark, sf_dir):
+    """Toxicity of every document."""
+    from rxatlas.llm.toxicity import toxicity
+    return toxicity(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_language_bloom(spark, sf_dir):
+    """Language of every document."""
+    from rxatlas.llm.langid import language_of
+    return language_of(common.table(spark, sf_dir, "documents"))

@@ -155,3 +155,39 @@ def pieces(ptr: np.ndarray, most: int):
         e = max(s + 1, int(np.searchsorted(ptr, ptr[s] + most, "right")) - 1)
         yield s, min(e, n)
         s = min(e, n)
+
+
+class Memo:
+    """A worker's memory of a float for each 64-bit hash: two places by the
+    hash, so a look-up is two gathers. Starts anew beyond ``most`` entries."""
+
+    def __init__(self, bits: int = 22, most: int = 3_000_000):
+        self.shift, self.mask, self.most = U(64 - bits), U((1 << bits) - 1), most
+        self.key = np.zeros((2, 1 << bits), U)
+        self.value = np.zeros((2, 1 << bits), np.float32)
+        self.n = 0
+
+    def get(self, key: np.ndarray, make) -> np.ndarray:
+        """Values of ``key``; ``make(first)`` gives those of the keys at the
+        positions ``first``, one for each distinct unknown key."""
+        one, two = key >> self.shift, key & self.mask
+        out = self.value[0, one]
+        other = np.flatnonzero(self.key[0, one] != key)
+        out[other] = self.value[1, two[other]]
+        miss = other[self.key[1, two[other]] != key[other]]
+        if len(miss):
+            unique, where, back = np.unique(key[miss], return_index=True, return_inverse=True)
+            value = make(miss[where]).astype(np.float32)
+            out[miss] = value[back]
+            if self.n > self.most:
+                self.key[:] = 0
+                self.n = 0
+            one, two = unique >> self.shift, unique & self.mask
+            free = self.key[0, one] == 0
+            self.key[0, one[free]], self.value[0, one[free]] = unique[free], value[free]
+            self.key[1, two[~free]], self.value[1, two[~free]] = unique[~free], value[~free]
+            # two keys of this call may have met in one place: the last one stays, and the value must be its own
+            self.value[0, one[free]] = np.where(self.key[0, one[free]] == unique[free], value[free], self.value[0, one[free]])
+            self.value[1, two[~free]] = np.where(self.key[1, two[~free]] == unique[~free], value[~free], self.value[1, two[~free]])
+            self.n += len(unique)
+        return out
