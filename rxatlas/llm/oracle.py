@@ -28,3 +28,50 @@ SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, l.component_id,
        coalesce(d.doc_id = l.component_id, false) AS kept
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN lowest l ON l.id = d.doc_id
 """
+
+ORACLE["op2_host_reputation"] = r"""
+WITH parsed AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '(?s)^(.*?)://([^/?#]*)([^?#]*)', 2), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^(.*?)://([^/?#]*)([^?#]*)', 3), '') AS path
+  FROM pages),
+known AS (
+  SELECT doc_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+h AS (
+  SELECT host, count(k.bad) AS n, coalesce(sum(k.bad), 0) AS bad, string_split(host, '.')[-1] AS suffix,
+         array_to_string(string_split(host, '.')[-2:], '.') AS domain
+  FROM parsed LEFT JOIN known k ON page_id = k.doc_id GROUP BY host),
+d AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY domain, suffix),
+s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY suffix),
+levels AS (
+  SELECT 's' AS level, n, bad FROM s WHERE n > 0 UNION ALL SELECT 'd', n, bad FROM d WHERE n > 0
+  UNION ALL SELECT 'h', n, bad FROM h WHERE n > 0),
+sums AS (
+  SELECT level, CAST(sum(n) AS DOUBLE) AS n, CAST(sum(bad) AS DOUBLE) AS bad, sum(bad * bad / CAST(n AS DOUBLE)) AS q,
+         CAST(sum(n * n) AS DOUBLE) AS n2, count(*) AS g FROM levels GROUP BY level),
+strength AS (
+  SELECT level, bad / n AS m,
+         1 / least(greatest(CASE WHEN n - n2 / n > 0 AND (bad / n) * (1 - bad / n) > 0
+           THEN (q - 2 * (bad / n) * bad + (bad / n) * (bad / n) * n - (g - 1) * (bad / n) * (1 - bad / n))
+                / ((n - n2 / n) * (bad / n) * (1 - bad / n)) ELSE 0.001 END, 0.001), 0.9) - 1 AS k
+  FROM sums),
+ms AS (SELECT suffix, (bad + k * m) / (n + k) AS ms FROM s JOIN strength ON level = 's'),
+md AS (SELECT domain, (bad + k * ms) / (n + k) AS md FROM d JOIN ms USING (suffix) JOIN strength ON level = 'd'),
+rep AS (
+  SELECT host, n, bad + k * md AS a, n - bad + k * (1 - md) AS b, n + k AS t FROM h JOIN md USING (domain) JOIN strength ON level = 'h'),
+bounds AS (
+  SELECT host, a / t AS bad_mean, a / t - 1.645 * sqrt(greatest(a * b, 0) / (t * t * (t + 1))) AS bad_low FROM rep),
+rules AS (
+  SELECT * FROM (VALUES ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+    ('www.example.com/en/', 'www.example.com', '/en/', 'allow'), ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block'))
+    AS t(rule, rule_host, rule_path, verdict)),
+fits AS (
+  SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM (SELECT DISTINCT host, path FROM parsed) p
+  JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY host, path)
+SELECT p.page_id, p.host, p.path, f.rule,
+       coalesce(f.verdict, CASE WHEN coalesce(b.bad_low, 0) > 0.25 THEN 'block' ELSE 'allow' END) AS verdict,
+       CAST(h.n AS BIGINT) AS n_labelled, round(coalesce(b.bad_mean, 0), 6) AS bad_mean, round(coalesce(b.bad_low, 0), 6) AS bad_low
+FROM parsed p JOIN h ON h.host = p.host LEFT JOIN bounds b ON b.host = p.host
+LEFT JOIN fits f ON f.host = p.host AND f.path = p.path
+"""

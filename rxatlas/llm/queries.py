@@ -61,3 +61,24 @@ def op6_language_bloom(spark, sf_dir):
     """Language of every document."""
     from rxatlas.llm.langid import language_of
     return language_of(common.table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_host_reputation(spark, sf_dir):
+    """Verdict on every page's url."""
+    from rxatlas.llm.hosts import judge
+    return judge(common.table(spark, sf_dir, "pages"), common.table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_kneser_ney(spark, sf_dir):
+    """log10 probability of every document."""
+    from rxatlas.llm.ngram import language_model_scores
+    return language_model_scores(common.table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_multiset_hash(spark, sf_dir):
+    """Fingerprints of every document and of its edited text."""
+    from rxatlas.llm.fingerprint import fingerprints
+    return fingerprints(common.table(spark, sf_dir, "documents"))

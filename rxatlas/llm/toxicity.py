@@ -36,7 +36,7 @@ from rxatlas.llm import text as tx
 from rxatlas.llm.common import bounded_sample, columns, fold
 
 U = np.uint64
-SAMPLE_DOCS, SAMPLE_BYTES = 2500, 12000
+SAMPLE_DOCS, SAMPLE_BYTES = 2000, 8000
 LANDMARKS, ROUNDS, WITNESSES, HARD = 160, 4, 4, 4000
 DECAY = 0.6
 SPANS = {3: 6, 4: 6}
@@ -191,15 +191,43 @@ def _logistic(x: np.ndarray, y: np.ndarray, c: np.ndarray, ridge: float) -> np.n
     return w
 
 
+def _vocabulary(texts: pa.Array) -> tuple[Segments, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct segments, and of every segment of the texts its text and
+    its number among them; built in slices to keep memory small."""
+    keys, docs, symbols, sizes, known, size = [], [], [], [], np.zeros(0, U), []
+    for s in range(0, len(texts), 100):
+        g = Segments(texts.slice(s, 100))
+        n = np.diff(g.ptr)
+        keys.append(g.key)
+        docs.append(np.repeat(np.arange(s, s + len(n)), n))
+        size.append(n)
+        unique, first = np.unique(g.key, return_index=True)
+        new = ~np.isin(unique, known, assume_unique=True)
+        k = first[new]
+        length = g.end[k] - g.begin[k]
+        at = np.concatenate(([0], np.cumsum(length)))
+        symbols.append(g.symbol[np.repeat(g.begin[k] - at[:-1], length) + np.arange(at[-1])])
+        sizes.append((unique[new], length))
+        known = np.union1d(known, unique)
+    seg = Segments(pa.array([], pa.string()))
+    seg.key, length = (np.concatenate(x) for x in zip(*sizes)) if sizes else (np.zeros(0, U), np.zeros(0, np.int64))
+    seg.symbol = np.concatenate(symbols) if symbols else seg.symbol
+    seg.end = np.cumsum(length)
+    seg.begin = seg.end - length
+    order = np.argsort(seg.key)
+    word = order[np.searchsorted(seg.key[order], np.concatenate(keys))] if keys else np.zeros(0, np.int64)
+    return seg, np.concatenate(docs) if docs else word, word, np.concatenate(([0], np.cumsum(np.concatenate(size)))) if size else np.zeros(1, np.int64)
+
+
 def train(texts: pa.Array, toxic: np.ndarray, weight: np.ndarray) -> Model:
     """``texts`` with labels 0/1; ``weight``: rows of the population each stands for."""
     prior = float((weight * toxic).sum() / max(weight.sum(), 1))
     if len(np.unique(toxic)) < 2:
         return Model(prior=prior)
-    seg = Segments(texts)
-    doc = np.repeat(np.arange(len(texts)), np.diff(seg.ptr))
-    _, first, word = np.unique(seg.key, return_index=True, return_inverse=True)
-    pair = np.unique(doc * len(first) + word)
+    seg, doc, word, ptr = _vocabulary(texts)
+    every = word
+    pair = np.unique(doc * len(seg.key) + word)
+    first = np.arange(len(seg.key))
     doc, word = pair // len(first), pair % len(first)
     n = len(first)
     t = toxic == 1
@@ -260,7 +288,8 @@ def train(texts: pa.Array, toxic: np.ndarray, weight: np.ndarray) -> Model:
         if step < ROUNDS - 1:
             f = f + 0.25 * np.clip(odds, -2, 4) * (a >= 2)
     model = Model(table.astype(np.float32), bias, np.quantile(f[word], QUANTILES), None, prior)
-    x = model.features(seg, f[np.unique(seg.key, return_inverse=True)[1]])
+    seg.ptr = ptr
+    x = model.features(seg, f[every])
     model.coef = _logistic(x[~half], toxic[~half].astype(float), weight[~half] / weight[~half].mean(), 0.05)
     return model
 
