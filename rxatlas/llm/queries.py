@@ -82,3 +82,18 @@ def op7_multiset_hash(spark, sf_dir):
     """Fingerprints of every document and of its edited text."""
     from rxatlas.llm.fingerprint import fingerprints
     return fingerprints(common.table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_nn_descent(spark, sf_dir):
+    """Links and components of all embeddings."""
+    from rxatlas.llm.neighbours import linked_vectors
+    found, _ = linked_vectors(common.table(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
+@query
+def op10_licence_scan(spark, sf_dir):
+    """Licence families of every document."""
+    from rxatlas.llm.licences import scan
+    return scan(common.table(spark, sf_dir, "documents"))
