@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rxatlas.functions.text import normalise_postcode
 from rxatlas.schemas import area_key
 
 
@@ -54,6 +55,8 @@ def map_to_area(grouped: DataFrame, mapper: DataFrame, area_type: str,
     flag rather than a filter so the grand total sees every medicine.
     """
     key = area_key(area_type)
+    if key == "postcode":
+        grouped = grouped.withColumn("postcode", normalise_postcode("postcode"))
     m = mapper.select(key, area_type).filter(F.col(key).isNotNull())
     from rxatlas.sources.lookups import dedup_on_key
     m = dedup_on_key(m, key)

@@ -6,10 +6,12 @@ arguments (year, area code columns, k) and writes its result where asked.
 
 from __future__ import annotations
 
+import logging
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rxatlas.functions.text import dataset_name
 from rxatlas.operators import adjacency as adj
 from rxatlas.operators import area as ar
 from rxatlas.operators import grouping as grp
@@ -18,9 +20,11 @@ from rxatlas.operators import index as idx
 from rxatlas.operators import knn
 from rxatlas.operators import manifest as mf
 from rxatlas.schemas import GROUP_MANIFEST
-from rxatlas.sources.epd import read_epd_csv
+from rxatlas.sources.epd import landed_files, read_epd_files
 from rxatlas.sources.manifests import append_manifest, load_manifest
 
+log = logging.getLogger(__name__)
+
 
 def prepare_months(spark: SparkSession, landing_dir: str, target_dir: str, manifest_dir: str,
                    years: list[int], medication_column: str = "CHEMICAL_SUBSTANCE_BNF_DESCR",
@@ -28,15 +32,17 @@ def prepare_months(spark: SparkSession, landing_dir: str, target_dir: str, manif
     """C1 (batch form): group every pending month of ``years`` in one job.
 
     V6 month spine -> M4 pending set (anti-join with done months whose
-    partition exists) -> one scan of the landing folder restricted to the
-    pending months -> A1 -> K1 with dynamic overwrite -> K6 manifest append.
-    Returns the names processed.
+    partition exists) -> one scan of the pending months' files -> A1 -> K1 with
+    dynamic overwrite -> K6 manifest append. Returns the names processed: the
+    pending months that had rows; the others are logged as missing.
     """
     wanted = mf.month_spine(spark.createDataFrame([(y,) for y in years], "year int"))
     done = load_manifest(spark, manifest_dir, GROUP_MANIFEST)
     try:
         written = grp.read_grouped(spark, target_dir).select("year", "month")
-    except Exception:  # noqa: BLE001  (nothing written yet)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         written = spark.createDataFrame([], "year smallint, month tinyint")
     latest = mf.latest_state(done.withColumnRenamed("latest_process_date", "event_time")) \
         .withColumnRenamed("event_time", "latest_process_date")
@@ -45,12 +51,17 @@ def prepare_months(spark: SparkSession, landing_dir: str, target_dir: str, manif
     # the manifest written below cannot change what this run reports
     names = sorted(r.name for r in pending.collect())
     yms = [n[4:] for n in names]
-    todo = read_epd_csv(spark, landing_dir).filter(F.col("YEAR_MONTH").isin(yms))
-    grp.write_grouped(grp.group_month(todo, medication_column, measure), target_dir)
-    done_now = (grp.read_grouped(spark, target_dir)
-                .filter(F.format_string("%04d%02d", "year", "month").isin(yms))
-                .select(dataset_name("year", "month").alias("name")).distinct())
-    done_names = sorted(r.name for r in done_now.collect())
+    # file names carry the month: only the pending months' files are opened
+    paths = [p for p in landed_files(spark, landing_dir, "*.csv*") if any(f"_{ym}." in p for ym in yms)] if yms else []
+    done_names = []
+    if paths:
+        todo = read_epd_files(spark, paths).filter(F.col("YEAR_MONTH").isin(yms))
+        found = {r[0] for r in todo.select("YEAR_MONTH").distinct().collect()}  # at most the pending months
+        grp.write_grouped(grp.group_month(todo, medication_column, measure), target_dir)
+        done_names = [n for n in names if n[4:] in found]
+    missing = [n for n in names if n not in done_names]
+    if missing:
+        log.warning("no rows landed for pending months: %s", ", ".join(missing))
     rows = spark.createDataFrame([(n,) for n in done_names], "name string").select(
         "name", F.lit("grouped_epds").alias("record_type"),
         F.struct(F.lit("items_by_prescription").alias("name"),

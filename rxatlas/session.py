@@ -77,13 +77,3 @@ def materialize(df):
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
-
-def spread(df):
-    """Give CPU-heavy row work every core when the input has fewer splits than
-    the cluster has task slots (one unsplittable compressed month file, or a
-    file that is a single row group). With thousands of splits, as at scale,
-    this is a no-op; otherwise a round-robin repartition (deterministic on
-    retry: Spark sorts before it) spreads the rows."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
-    return df.repartition(slots) if n < slots else df

@@ -28,7 +28,8 @@ def _to_vertices(ring):
 
 def read_boundaries_geojson(spark: SparkSession, path: str, code_property: str,
                             england_only: bool = True) -> DataFrame:
-    """(code, parts) per feature; with ``england_only`` keep codes starting 'E'."""
+    """(code, parts) per feature; with ``england_only`` keep codes starting 'E'.
+    An area whose geometry is null or of another type stays, with null parts."""
     doc = spark.read.schema(_FEATURES).option("multiLine", True).json(path)
     f = doc.select(F.explode("features").alias("f")).select(
         F.col("f.properties")[code_property].alias("code"),
@@ -39,7 +40,7 @@ def read_boundaries_geojson(spark: SparkSession, path: str, code_property: str,
                    F.array(F.transform(poly, _to_vertices))) \
         .when(F.col("gtype") == "MultiPolygon",
               F.transform(multi, lambda part: F.transform(part, _to_vertices)))
-    out = f.select("code", parts.alias("parts")).filter(F.col("parts").isNotNull())
+    out = f.select("code", parts.alias("parts"))
     if england_only:
         out = out.filter(F.col("code").startswith("E"))
     return out.select(F.col("code"), F.col("parts").cast(AREA["parts"].dataType))

@@ -1,7 +1,8 @@
 """Prescribing months.
 
-A landing folder holds one CSV per month (``EPD_YYYYMM.csv``). All months
-are read in one scan; Spark splits the files and prunes unread columns.
+A landing folder holds one CSV per month (``EPD_YYYYMM.csv``, plain or
+compressed). Columns go by name: files are grouped by their header line, each
+group is one scan, and the groups are put together by column name.
 """
 
 from __future__ import annotations
@@ -10,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxatlas.functions.text import year_text
-from rxatlas.session import spread
 from rxatlas.schemas import EPD_MEASURE_TYPES
 
 
@@ -28,14 +28,33 @@ def read_epd_csv(spark: SparkSession, path: str, year: int | None = None,
                  **options) -> DataFrame:
     """Read landed month CSVs (header, all strings) and type them.
 
-    ``year`` narrows the scan to ``*_{year}*.csv`` files by name.
+    ``year`` narrows the scan to ``*_{year}*.csv*`` files by name.
     """
-    r = spark.read.option("header", True).option("inferSchema", False)
-    if year is not None:
-        r = r.option("pathGlobFilter", f"*_{year}*.csv")
-    for k, v in options.items():
-        r = r.option(k, v)
-    return type_epd(spread(r.csv(path)))
+    return read_epd_files(spark, landed_files(spark, path, f"*_{year}*.csv*" if year is not None else "*.csv*"), **options)
+
+
+def landed_files(spark: SparkSession, path: str, glob: str) -> list[str]:
+    """Paths of the month files (a few per year) below ``path``."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)  # lists, reads no content
+    return sorted(r.path for r in files.select("path").collect())
+
+
+def read_epd_files(spark: SparkSession, paths: list[str], **options) -> DataFrame:
+    """The named month files, typed. A column that only some files have is null for the others."""
+    if not paths:
+        raise FileNotFoundError("no month file to read")
+    by_header: dict[str, list[str]] = {}
+    for p in paths:
+        first = spark.read.text(p).first()
+        by_header.setdefault(first.value if first else "", []).append(p)
+    out = None
+    for group in by_header.values():
+        r = spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
+        for k, v in options.items():
+            r = r.option(k, v)
+        df = r.csv(group)
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return type_epd(out)
 
 
 def year_slice(epd: DataFrame, year: int) -> DataFrame:

@@ -32,7 +32,7 @@ ODS_VOCAB = (PRACTICE_KEY, *PRACTICE_AREA_TYPES)
 LEGACY_NSPL_COLUMNS = ("pcd", "lat", "long", "msoa11", "laua")
 
 
-class RefreshRequired(Exception):
+class LookupColumnsMissing(Exception):
     """A lookup no longer carries the columns the mapping expects."""
 
 
@@ -55,10 +55,10 @@ def mapping_problems(mapper: dict, vocabulary) -> set:
 
 def select_mapped(df: DataFrame, mapper: dict) -> DataFrame:
     """Select and rename by mapper; a missing source column is a
-    RefreshRequired error raised at plan time, before any data is read."""
+    LookupColumnsMissing error raised at plan time, before any data is read."""
     missing = [src for src in mapper.values() if src not in df.columns]
     if missing:
-        raise RefreshRequired(f"lookup lacks columns {missing}")
+        raise LookupColumnsMissing(f"lookup lacks columns {missing}")
     return df.select(*[F.col(f"`{src}`").alias(dst) for dst, src in mapper.items()])
 
 
@@ -104,12 +104,13 @@ def schema_contract(raws: dict[str, DataFrame]) -> DataFrame:
         bad = mapping_problems(mapper, vocab)
         if bad:
             raise TypeError(f"{name} mapper and vocabulary differ: {sorted(bad)}")
-        present = [(dst, src) for dst, src in mapper.items() if src in raw.columns]
-        counts = raw.agg(*[F.count(F.col(f"`{src}`")).alias(dst) for dst, src in present])
+        have = set(raw.columns)
+        counts = raw.agg(*[(F.count(F.col(f"`{src}`")) if src in have else F.lit(0).cast("long")).alias(dst)
+                           for dst, src in mapper.items()])
         stacked = counts.select(F.explode(F.array(*[
             F.struct(F.lit(name).alias("lookup"), F.lit(dst).alias("target"),
-                     F.lit(src).alias("source"), F.lit(True).alias("present"),
-                     F.col(dst).alias("non_null")) for dst, src in present])).alias("r")).select("r.*")
+                     F.lit(src).alias("source"), F.lit(src in have).alias("present"),
+                     F.col(dst).alias("non_null")) for dst, src in mapper.items()])).alias("r")).select("r.*")
         parts.append(stacked)
     out = parts[0]
     for p in parts[1:]:

@@ -14,24 +14,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rxatlas.functions.text import dataset_name, month_part, year_part
 from rxatlas.operators.grouping import group_month, write_grouped
-from rxatlas.schemas import EPD_COLUMNS
-from rxatlas.sources.epd import type_epd
+from rxatlas.sources.epd import read_epd_csv, read_epd_files
 
-RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in EPD_COLUMNS])
+#: The fixed columns of Spark's binary file source.
+BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
 def _regroup(spark: SparkSession, landing_dir: str, target_dir: str, manifest_dir: str | None,
              medication_column: str, measure: str, batch: DataFrame) -> None:
-    months = [r[0] for r in batch.select("YEAR_MONTH").distinct().collect()]  # <= a few months
-    if not months:
+    paths = sorted(r.path for r in batch.select("path").distinct().collect())  # newly landed month files
+    if not paths:
         return
-    full = (spark.read.schema(RAW_SCHEMA).option("header", True).csv(landing_dir)
-            .filter(F.col("YEAR_MONTH").isin(months)))
-    write_grouped(group_month(type_epd(full), medication_column, measure), target_dir)
+    months = [r[0] for r in read_epd_files(spark, paths).select("YEAR_MONTH").distinct().collect()]
+    full = read_epd_csv(spark, landing_dir).filter(F.col("YEAR_MONTH").isin(months))
+    write_grouped(group_month(full, medication_column, measure), target_dir)
     if manifest_dir:
         done = spark.createDataFrame([(m,) for m in months], "ym string").select(
             dataset_name(year_part("ym"), month_part("ym")).alias("name"),
@@ -50,9 +49,9 @@ def run_incremental_grouping(spark: SparkSession, landing_dir: str, target_dir:
                              measure: str = "ITEMS"):
     """Process every newly landed file once, then stop. Returns the query
     (already finished). ``checkpoint_location`` must be shared storage."""
-    stream = (spark.readStream.schema(RAW_SCHEMA).option("header", True)
-              .option("pathGlobFilter", "*.csv*").csv(landing_dir))  # plain or compressed
-    q = (stream.select("YEAR_MONTH").writeStream
+    # the stream carries file names only; columns are resolved from each file's header
+    stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE).option("pathGlobFilter", "*.csv*").load(landing_dir))
+    q = (stream.select("path").writeStream
          .foreachBatch(lambda df, _epoch: _regroup(spark, landing_dir, target_dir, manifest_dir,
                                                     medication_column, measure, df))
          .option("checkpointLocation", checkpoint_location)

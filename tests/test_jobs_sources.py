@@ -50,3 +50,43 @@ def test_prepare_months_is_incremental(spark, tmp_dir):
     got = {(r.month, r.total_items) for r in grp.read_grouped(spark, target).collect()}
     assert got == {(1, 2), (2, 3), (3, 7)}
     assert {r.medication for r in jobs.analyst_totals(spark, target, 2030).collect()} == {"A"}
+
+
+def test_month_files_are_read_by_name(spark, tmp_dir):
+    """Files with other column orders, further columns and compression."""
+    import gzip
+    import os
+
+    from rxatlas.sources.epd import read_epd_csv
+    os.makedirs(tmp_dir)
+    with open(f"{tmp_dir}/EPD_203001.csv", "w") as f:
+        f.write("PRACTICE_CODE,YEAR_MONTH,ITEMS\nA1,203001,2\n")
+    with open(f"{tmp_dir}/EPD_203002.csv", "w") as f:
+        f.write("YEAR_MONTH,REGIONAL_OFFICE_NAME,ITEMS,PRACTICE_CODE\n203002,LONDON,3,B1\n")
+    with gzip.open(f"{tmp_dir}/EPD_203003.csv.gz", "wt") as f:
+        f.write("ITEMS,YEAR_MONTH,PRACTICE_CODE\n4,203003,C1\n")
+    got = read_epd_csv(spark, tmp_dir, year=2030).select("PRACTICE_CODE", "YEAR_MONTH", "ITEMS").collect()
+    assert sorted((r[0], r[1], int(r[2])) for r in got) == [("A1", "203001", 2), ("B1", "203002", 3), ("C1", "203003", 4)]
+
+
+def test_area_without_geometry_stays(spark, tmp_dir):
+    import json
+    import os
+
+    from rxatlas.sources.boundaries import read_boundaries_geojson
+    os.makedirs(tmp_dir)
+    ring = [[0, 0], [1, 0], [1, 1], [0, 0]]
+    with open(f"{tmp_dir}/a.json", "w") as f:
+        json.dump({"features": [{"properties": {"LAD": "E1"}, "geometry": {"type": "Polygon", "coordinates": [ring]}},
+                                {"properties": {"LAD": "E2"}, "geometry": None}]}, f)
+    got = {r.code: r.parts for r in read_boundaries_geojson(spark, f"{tmp_dir}/a.json", "LAD").collect()}
+    assert set(got) == {"E1", "E2"} and got["E2"] is None
+
+
+def test_missing_lookup_column_is_reported(spark):
+    from rxatlas.sources import fixtures as fx
+    from rxatlas.sources import lookups as lk
+    raw = fx.nspl_raw(spark, "/root/testdata/sf0.001")
+    gone = next(iter(lk.NSPL_COLUMNS.values()))
+    rows = lk.schema_contract({"nspl": raw.drop(gone)}).collect()
+    assert len(rows) == len(lk.NSPL_COLUMNS) and [r.source for r in rows if not r.present] == [gone]
