@@ -181,26 +181,33 @@ def train(corpus: list[str]) -> Model:
         rows.append(own)
         cols.append(f[k][pos] + k * (1 << FEATURE_BITS))
     rows, cols = np.concatenate(rows), np.concatenate(cols)
-    value = 1 / np.sqrt(np.maximum(np.diff(at, axis=1)[:, 0], 1))[rows]
+    scale = 1 / np.sqrt(np.maximum(np.diff(at, axis=1), 1))  # the value of each of a unit's n-grams
     order = np.argsort(rows, kind="stable")
-    rows, cols, value = rows[order], cols[order], value[order]
+    rows, cols = rows[order], cols[order]
     used, col = np.unique(cols, return_inverse=True)
+    full_rows, row_starts = np.unique(rows, return_index=True)
+    by_col = np.argsort(col, kind="stable")
+    col_rows, col_starts = rows[by_col], np.searchsorted(col[by_col], np.arange(len(used)))
     held = rng.rand(len(at)) < 0.2
     weight = (1 / np.bincount(y, minlength=classes).clip(1))[y] * ~held
     weight /= weight.sum()
-    w, b = np.zeros((len(used), classes)), np.zeros(classes)
+    w, b = np.zeros((classes, len(used))), np.zeros(classes)
     gw, gb = np.full(w.shape, 1e-8), np.full(classes, 1e-8)
     hot = np.eye(classes)[y]
 
     def logits():
-        return np.stack([np.bincount(rows, value * w[col, c], len(at)) for c in range(classes)], 1) + b
+        z = np.zeros((len(at), classes))
+        for c in range(classes):
+            z[full_rows, c] = np.add.reduceat(w[c][col], row_starts)
+        return z * scale + b
 
     for _ in range(120):  # full-batch steps scaled by each weight's own gradients
         z = logits()
         p = np.exp(z - z.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
         g = (p - hot) * weight[:, None]
-        d = np.stack([np.bincount(col, value * g[rows, c], len(used)) for c in range(classes)], 1) + 1e-6 * w
+        part = np.ascontiguousarray((g * scale).T)
+        d = np.stack([np.add.reduceat(x[col_rows], col_starts) for x in part]) + 1e-6 * w
         gw += d * d
         gb += g.sum(0) ** 2
         w -= 0.5 * d / np.sqrt(gw)
@@ -211,7 +218,7 @@ def train(corpus: list[str]) -> Model:
         loss = -(q[np.arange(len(q)), y[held]] - q.max(1) - np.log(np.exp(q - q.max(1, keepdims=True)).sum(1))).mean()
         best = min(best, (loss, t))
     full = np.zeros((GRAMS << FEATURE_BITS, classes), np.float32)
-    full[used] = w
+    full[used] = w.T
     return Model(full.reshape(GRAMS, 1 << FEATURE_BITS, classes), b, best[1])
 
 
