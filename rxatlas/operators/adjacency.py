@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rxatlas.operators.illness import check_broadcastable
 from rxatlas.session import materialize
 
 RING_MOMENTS = """
@@ -125,12 +126,12 @@ def _edge_cells(e: DataFrame, g: float, hot_limit: int, max_splits: int) -> Data
                   F.explode(F.sequence(F.floor(lo_y / g).cast("bigint"), F.floor(hi_y / g).cast("bigint")))
                   .alias("cy")))
     for _ in range(max_splits):
-        hot = ec.groupBy("L", "cx", "cy").count().filter(F.col("count") > hot_limit).drop("count")
+        hot = materialize(ec.groupBy("L", "cx", "cy").count().filter(F.col("count") > hot_limit).drop("count"))
         if hot.limit(1).count() == 0:
             break
-        ec = materialize(ec)
-        inside = ec.join(F.broadcast(materialize(hot)), ["L", "cx", "cy"], "left_semi")  # hot cells: few
-        rest = ec.join(F.broadcast(hot), ["L", "cx", "cy"], "left_anti")
+        ec, hot = materialize(ec), check_broadcastable(hot)
+        inside = ec.join(hot, ["L", "cx", "cy"], "left_semi")
+        rest = ec.join(hot, ["L", "cx", "cy"], "left_anti")
         gl = F.lit(g) / F.pow(F.lit(2.0), F.col("L") + 1)
         kids = (inside.select("code", "s", (F.col("L") + 1).alias("L"), "cx", "cy", gl.alias("gl"))
                 .select("code", "s", "L", "cy", "gl", F.explode(F.sequence(
@@ -161,7 +162,7 @@ def neighbour_pairs(areas: DataFrame, cell: float | None = None,
     # bounding-box side, so a box covers a few cells however detailed the
     # boundary's edges are.
     verts = F.flatten(F.flatten("parts"))
-    boxes = areas.select("code", "parts",
+    boxes = areas.select("code",
                          F.array_min(F.transform(verts, lambda v: v["x"])).alias("minx"),
                          F.array_min(F.transform(verts, lambda v: v["y"])).alias("miny"),
                          F.array_max(F.transform(verts, lambda v: v["x"])).alias("maxx"),
@@ -173,14 +174,15 @@ def neighbour_pairs(areas: DataFrame, cell: float | None = None,
                 F.floor(F.col("v.x") / g).cast("bigint").alias("cx"),
                 F.floor(F.col("v.y") / g).cast("bigint").alias("cy"))
     bx, by = _cells(F.col("minx"), F.col("miny"), F.col("maxx"), F.col("maxy"), g)
-    bcells = boxes.select("code", "parts", "minx", "miny", "maxx", "maxy", bx.alias("cx")) \
-        .select("code", "parts", "minx", "miny", "maxx", "maxy", "cx",
+    bcells = boxes.select("code", "minx", "miny", "maxx", "maxy", bx.alias("cx")) \
+        .select("code", "minx", "miny", "maxx", "maxy", "cx",
                 F.explode(F.sequence(F.floor(F.col("miny") / g).cast("bigint"),
                                      F.floor(F.col("maxy") / g).cast("bigint"))).alias("cy"))
     inside = (reps.join(bcells, ["cx", "cy"])
               .filter((F.col("code") != F.col("pcode"))
                       & F.col("px").between(F.col("minx"), F.col("maxx"))
                       & F.col("py").between(F.col("miny"), F.col("maxy")))
+              .join(areas.select("code", "parts"), "code")  # geometry only for pairs whose boxes allow it
               .filter(F.expr(POINT_IN_POLYGON))
               .select(F.least("code", "pcode").alias("code"), F.greatest("code", "pcode").alias("nb")))
     one_way = touching.unionByName(inside).distinct()

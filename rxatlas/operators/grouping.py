@@ -35,17 +35,16 @@ def group_month(epd: DataFrame, medication_column: str = "CHEMICAL_SUBSTANCE_BNF
              .alias("total_items")))
 
 
-def write_grouped(grouped: DataFrame, path: str, files_per_month_hint: int | None = None) -> None:
+def write_grouped(grouped: DataFrame, path: str) -> None:
     """K1 + M5: write partitioned by year and month, sorted by medication.
 
-    Range partitioning on (year, month, medication, practice_code) gives each
-    task a contiguous key range, so a month folder gets few files, each
-    sorted by medication (row-group statistics then prune medication). The
-    practice key keeps a large medication splittable. Dynamic overwrite
-    replaces exactly the months present in ``grouped``.
+    Rebalanced by month: the adaptive plan joins small months' partitions and
+    splits large ones to the advisory partition size, so the number of files
+    follows the data. Each file is sorted by medication (row-group statistics
+    then prune it). Dynamic overwrite replaces exactly the months present in
+    ``grouped``.
     """
-    n = files_per_month_hint or int(grouped.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (grouped.repartitionByRange(n, "year", "month", "medication", "practice_code")
+    (grouped.hint("rebalance", "year", "month")
      .sortWithinPartitions("year", "month", "medication", "practice_code")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("year", "month").parquet(path))

@@ -111,7 +111,7 @@ def check_broadcastable(df: DataFrame, limit: int = MAX_BROADCAST_DIMENSION_ROWS
 def select_illnesses(dim: DataFrame, tag: str | None = None, illness: str | None = None) -> DataFrame:
     """V5 + F9: filter the dimension by tag or illness (exclusive; neither = all)."""
     if tag is not None and illness is not None:
-        raise ValueError("cannot set tag and illness at the same time")
+        raise ValueError("choose by tag or by illness, not both")
     if tag is not None:
         return dim.filter(F.array_contains("tags", title(tag)))
     if illness is not None:
@@ -202,13 +202,15 @@ def illness_totals(flagged: DataFrame, spec: list[IllnessSpec]) -> DataFrame:
 
 
 def medication_totals(grouped: DataFrame, dim: DataFrame, tag: str | None = None,
-                      illness: str | None = None) -> DataFrame:
-    """S8 + F7: items per year and medication for the selected medicines.
+                      illness: str | None = None, year: int | None = None) -> DataFrame:
+    """S8 + F7: items per year and medication for the selected medicines; a
+    given year is a partition filter on the base table.
 
     The medicine list is a semi-join (broadcast behind a size check), so on a
     partitioned base table it also drives dynamic partition pruning."""
     meds = medications(dim, tag, illness)
-    sel = grouped.join(check_broadcastable(meds), "medication", "left_semi")
+    g = grouped if year is None else grouped.filter(F.col("year") == year)
+    sel = g.join(check_broadcastable(meds), "medication", "left_semi")
     return sel.groupBy("year", "medication").agg(F.sum("total_items").alias("total_items"))
 
 

@@ -6,11 +6,10 @@ distance-limit modes:
 * practices are first folded to distinct points per partition (year):
   ``n`` practices and the sum of their values at each location, so a
   location shared by many practices is one row;
-* a quadtree of grid levels over the joint bounding box counts practices
-  per cell; each area picks the finest level whose 3x3 block around it
-  holds at least k practices. Every practice in that block lies within
-  U = 2*sqrt(2)*cell, so the k-th distance is at most U and all candidates
-  sit in the 7x7 block: an equi-join on (year, level, cell);
+* the search goes down a grid quadtree, level by level: practices counted
+  per cell bound a target's k-th distance from above, and cells beyond the
+  bound are left, so a crowded cluster is refined until about k locations
+  remain per target (``candidate_cells``);
 * ranks follow ``rank()`` (ties share a rank, so ties at the k-th distance
   are kept): rank = 1 + practices strictly closer.
 
@@ -22,8 +21,6 @@ size-checked area set) reduced by a groupBy, so pairs are never emitted.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -31,8 +28,12 @@ from pyspark.sql import functions as F
 
 from rxatlas.session import materialize
 
-LEVELS = 20
+LEVELS, STEP = 30, 3
+#: Candidate locations per wanted neighbour at which a target's search stops refining.
+SETTLED = 8
 MAX_TARGETS_PER_BLOCK = 50_000
+#: Distances held at once by a task of ``idw_all``.
+MAX_DISTANCES = 4_000_000
 
 
 def fold_points(sources: DataFrame, part_cols: list[str], value: str) -> DataFrame:
@@ -70,62 +71,64 @@ def knn_points(targets: DataFrame, points: DataFrame, part_cols: list[str], k: i
                levels: int = LEVELS) -> DataFrame:
     """Per (partition, target): folded locations within the k nearest, ties
     kept. Columns: part_cols, code, x, y, n, sz, d2, rank."""
-    points = materialize(points)  # folded locations: small, read four times below
+    points = materialize(points)  # folded locations: small, read once a level below
     fr = _frame(points, targets)
     if fr is None:
         return points.limit(0).select(*part_cols, F.lit(None).cast("string").alias("code"),
                                       "x", "y", "n", "sz", F.lit(0.0).alias("d2"),
                                       F.lit(0).cast("bigint").alias("rank"))
-    ox, oy, s0 = fr
-    sM = s0 / (2 ** levels)
-    fx = F.floor((F.col("x") - ox) / sM).cast("bigint")
-    fy = F.floor((F.col("y") - oy) / sM).cast("bigint")
-    fine = points.groupBy(*part_cols, fx.alias("fx"), fy.alias("fy")).agg(F.sum("n").alias("cnt"))
-    lv = F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("L")
-    counts = (fine.select(*part_cols, "fx", "fy", "cnt", lv)
-              .select(*part_cols, "L", F.expr(f"shiftright(fx, {levels} - L)").alias("cx"),
-                      F.expr(f"shiftright(fy, {levels} - L)").alias("cy"), "cnt")
-              .groupBy(*part_cols, "L", "cx", "cy").agg(F.sum("cnt").alias("cnt")))
-    totals = points.groupBy(*part_cols).agg(F.sum("n").alias("total"))
-
-    tfx = F.floor((F.col("tx") - ox) / sM).cast("bigint")
-    tfy = F.floor((F.col("ty") - oy) / sM).cast("bigint")
-    tcell = targets.select("code", "tx", "ty", tfx.alias("tfx"), tfy.alias("tfy"))
-    tl = (tcell.select("code", "tfx", "tfy", lv)
-          .select("code", "L", F.expr(f"shiftright(tfx, {levels} - L)").alias("tcx"),
-                  F.expr(f"shiftright(tfy, {levels} - L)").alias("tcy"), _offsets(1).alias("o"))
-          .select("code", "L", (F.col("tcx") + F.col("o.dx")).alias("cx"),
-                  (F.col("tcy") + F.col("o.dy")).alias("cy")))
-    blocks = (tl.join(counts, ["L", "cx", "cy"])
-              .groupBy(*part_cols, "code", "L").agg(F.sum("cnt").alias("block")))
-    chosen = materialize(
-        blocks.join(F.broadcast(totals), part_cols)  # one row per partition (year)
-        .filter(F.col("block") >= F.least(F.lit(k), F.col("total")))
-        .groupBy(*part_cols, "code").agg(F.max("L").alias("L")))  # one row per (year, area)
-    used = sorted(r[0] for r in chosen.select("L").distinct().collect())  # <= levels+1 ints
-    if not used:
-        used = [0]
-    pts = (points.select(*part_cols, "x", "y", "n", "sz", fx.alias("fx"), fy.alias("fy"),
-                         F.explode(F.array(*[F.lit(u) for u in used])).alias("L"))
-           .select(*part_cols, "x", "y", "n", "sz", "L",
-                   F.expr(f"shiftright(fx, {levels} - L)").alias("cx"),
-                   F.expr(f"shiftright(fy, {levels} - L)").alias("cy")))
-    tq = (chosen.join(tcell, "code")
-          .select(*part_cols, "code", "tx", "ty", "L",
-                  F.expr(f"shiftright(tfx, {levels} - L)").alias("tcx"),
-                  F.expr(f"shiftright(tfy, {levels} - L)").alias("tcy"), _offsets(3).alias("o"))
-          .select(*part_cols, "code", "tx", "ty", "L",
-                  (F.col("tcx") + F.col("o.dx")).alias("cx"), (F.col("tcy") + F.col("o.dy")).alias("cy"),
-                  (F.lit(2.0 * math.sqrt(2.0) * s0 * (1 + 1e-9)) / F.pow(F.lit(2.0), F.col("L")))
-                  .alias("U")))
+    cells, located = candidate_cells(targets, points, part_cols, k, fr, levels)
     dx, dy = F.col("x") - F.col("tx"), F.col("y") - F.col("ty")
-    cand = (tq.join(pts, part_cols + ["L", "cx", "cy"])
-            .withColumn("d2", dx * dx + dy * dy)
-            .filter(F.col("d2") <= F.col("U") * F.col("U"))
-            .select(*part_cols, "code", "x", "y", "n", "sz", "d2"))
+    cand = (cells.join(located, part_cols + ["cx", "cy"])
+            .select(*part_cols, "code", "x", "y", "n", "sz", (dx * dx + dy * dy).alias("d2")))
     return _rank_and_keep(cand, part_cols + ["code"], k)
 
 
+def candidate_cells(targets: DataFrame, points: DataFrame, part_cols: list[str], k: int, frame: tuple,
+                    levels: int = LEVELS) -> tuple[DataFrame, DataFrame]:
+    """The grid cells that can hold one of the k nearest of each target, and the
+    locations with their cell at the same level.
+
+    From one cell over everything, each round replaces a target's cells by
+    their occupied descendants ``STEP`` levels down. The practices of cells in
+    ascending order of their farthest point give an upper bound of the k-th
+    distance; cells whose nearest point lies beyond it are left. Rounds end
+    when every target's cells hold at most ``SETTLED * k`` locations, or at
+    the finest level.
+    """
+    ox, oy, s0 = frame
+    side = s0 / (2 ** levels)
+    fine = points.select("*", F.floor((F.col("x") - ox) / side).cast("bigint").alias("fx"),
+                         F.floor((F.col("y") - oy) / side).cast("bigint").alias("fy"))
+    zero = F.lit(0).cast("bigint")
+    cells, keys = targets.select("code", "tx", "ty", zero.alias("px"), zero.alias("py")), ["px", "py"]
+    for level in range(STEP, levels + 1, STEP):
+        located = fine.select(*part_cols, "x", "y", "n", "sz",
+                              F.expr(f"shiftright(fx, {levels - level})").alias("cx"),
+                              F.expr(f"shiftright(fy, {levels - level})").alias("cy"))
+        counts = (located.groupBy(*part_cols, "cx", "cy").agg(F.sum("n").alias("cnt"), F.count("*").alias("places"))
+                  .select("*", F.expr(f"shiftright(cx, {STEP})").alias("px"), F.expr(f"shiftright(cy, {STEP})").alias("py")))
+        s = s0 / (2 ** level)
+        lox, loy = ox + F.col("cx") * s - F.col("tx"), oy + F.col("cy") * s - F.col("ty")
+        near = F.hypot(F.greatest(F.lit(0.0), lox, -(lox + s)), F.greatest(F.lit(0.0), loy, -(loy + s)))
+        far = F.hypot(F.greatest(F.abs(lox), F.abs(lox + s)), F.greatest(F.abs(loy), F.abs(loy + s)))
+        inner = cells.join(counts, keys).select(*part_cols, "code", "tx", "ty", "cx", "cy", "cnt", "places",
+                                                near.alias("near"), far.alias("far"))
+        w = Window.partitionBy(*part_cols, "code")
+        upto = w.orderBy("far").rangeBetween(Window.unboundedPreceding, 0)
+        bound = F.min(F.when(F.col("upto") >= k, F.col("far"))).over(w)
+        # the slack covers rounding where a location lies on a cell's border
+        kept = materialize(inner.withColumn("upto", F.sum("cnt").over(upto)).withColumn("bound", bound)
+                           .filter(F.col("bound").isNull() | (F.col("near") <= F.col("bound") + 1e-9 * s0))
+                           .select(*part_cols, "code", "tx", "ty", "cx", "cy", "places"))
+        most = kept.groupBy(*part_cols, "code").agg(F.sum("places").alias("m")).agg(F.max("m")).first()[0] or 0
+        if most <= SETTLED * k:
+            break
+        cells = kept.withColumnsRenamed({"cx": "px", "cy": "py"}).drop("places")
+        keys = [*part_cols, "px", "py"]
+    return kept.drop("places"), located
+
+
 def limit_points(targets: DataFrame, points: DataFrame, part_cols: list[str],
                  limit: float) -> DataFrame:
     """F11 alone: locations within ``limit`` of each target (3x3 cells of
@@ -212,17 +215,20 @@ def idw_all(targets: DataFrame, points: DataFrame, part_cols: list[str],
                     continue
                 for key, g in pdf.groupby(list(_pc), sort=False):
                     key = key if isinstance(key, tuple) else (key,)
-                    d = np.hypot(g["x"].to_numpy()[:, None] - tx[None, :],
-                                 g["y"].to_numpy()[:, None] - ty[None, :])
-                    n = g["n"].to_numpy(float)[:, None]
-                    sz = g["sz"].to_numpy(float)[:, None]
-                    zero = d == 0
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        inv = np.where(zero, 0.0, 1.0 / d)
-                    out = pd.DataFrame({"code": codes,
-                                        "num": (sz * inv).sum(0), "den": (n * inv).sum(0),
-                                        "hz": np.where(zero, sz, 0.0).sum(0),
-                                        "hn": np.where(zero, n, 0.0).sum(0)})
+                    sums = np.zeros((4, len(tx)))
+                    rows = max(1, MAX_DISTANCES // max(1, len(tx)))
+                    for at in range(0, len(g), rows):
+                        part = g.iloc[at:at + rows]
+                        d = np.hypot(part["x"].to_numpy()[:, None] - tx[None, :],
+                                     part["y"].to_numpy()[:, None] - ty[None, :])
+                        n = part["n"].to_numpy(float)[:, None]
+                        sz = part["sz"].to_numpy(float)[:, None]
+                        zero = d == 0
+                        with np.errstate(divide="ignore", invalid="ignore"):
+                            inv = np.where(zero, 0.0, 1.0 / d)
+                        for i, x in enumerate((sz * inv, n * inv, np.where(zero, sz, 0.0), np.where(zero, n, 0.0))):
+                            sums[i] += x.sum(0)
+                    out = pd.DataFrame({"code": codes, "num": sums[0], "den": sums[1], "hz": sums[2], "hn": sums[3]})
                     for c, v in zip(_pc, key):
                         out[c] = v
                     yield out[[*_pc, "code", "num", "den", "hz", "hn"]]

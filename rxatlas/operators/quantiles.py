@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rxatlas.session import materialize
+
 DEFAULT_ACCURACY = 10_000
 
 
@@ -61,15 +63,18 @@ def exact_percentiles(df: DataFrame, group_cols: list[str], value: str, probs: l
     ranked = (counted.withColumn("_end", F.sum("_c").over(w) - 1)
               .withColumn("_start", F.col("_end") - F.col("_c") + 1))
     covers = lambda r: (F.col("_start") <= F.col(r)) & (F.col(r) <= F.col("_end"))
-    picks = ranked.groupBy(*keys).agg(
+    # one row per group and p: read twice below
+    picks = materialize(ranked.groupBy(*keys).agg(
         F.min(F.when(covers("_r0"), F.col("_val"))).alias("_v0"),
-        F.min(F.when(covers("_r1"), F.col("_val"))).alias("_v1"))
+        F.min(F.when(covers("_r1"), F.col("_val"))).alias("_v1")))
     frac = F.col("_pos") - F.col("_r0")
     interp = F.when(F.col("_r0") == F.col("_r1"), F.col("_v0")) \
         .otherwise(F.col("_v0") + (F.col("_v1") - F.col("_v0")) * frac)
     ok = F.col("_v0").isNotNull() & F.col("_v1").isNotNull()
     exact = picks.filter(ok).select(*group_cols, F.col("_p").alias("p"), interp.alias(value))
     failed = picks.filter(~ok).select(*group_cols, "_i", "_p", "_pos", "_r0", "_r1")
+    if failed.limit(1).count() == 0:
+        return exact
     return exact.unionByName(_fallback(base, failed, group_cols, value))
 
 

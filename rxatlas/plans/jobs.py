@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rxatlas.functions.geo import to_bng, valid_point
 from rxatlas.operators import adjacency as adj
 from rxatlas.operators import area as ar
 from rxatlas.operators import grouping as grp
@@ -20,6 +21,7 @@ from rxatlas.operators import index as idx
 from rxatlas.operators import knn
 from rxatlas.operators import manifest as mf
 from rxatlas.schemas import GROUP_MANIFEST
+from rxatlas.session import materialize
 from rxatlas.sources.epd import landed_files, read_epd_files
 from rxatlas.sources.manifests import append_manifest, load_manifest
 
@@ -115,12 +117,21 @@ def interpolate_job(index_xy: DataFrame, areas: DataFrame, k: int, threshold: fl
     c = adj.centroids(areas).select("code", F.col("cx").alias("tx"), F.col("cy").alias("ty"))
     vals = knn.interpolate(c, index_xy, ["YEAR"], idx.INDEX_COLUMN, k=k, distance_limit=distance_limit)
     spine = ar.area_year_spine(areas, ar.years_of(index_xy))
-    v = spine.join(vals.withColumnRenamed("value", "loneliness"), ["YEAR", "code"], "left")
+    v = materialize(spine.join(vals.withColumnRenamed("value", "loneliness"), ["YEAR", "code"], "left"))  # read by LISA twice
     pairs = pairs if pairs is not None else adj.neighbour_pairs(areas)
     res = v.join(adj.lisa(v, pairs, ["YEAR"], "loneliness", threshold), ["YEAR", "code"], "left")
     return _write_sorted(res.select("YEAR", "code", "loneliness", "LISA_score", "LISA_support"), out_path)
 
 
+def interpolate_geo_job(index_geo: DataFrame, areas: DataFrame, k: int, **kw) -> DataFrame:
+    """C3 from the index with geography, as :func:`practice_index_job` writes
+    it: valid lat/long (F6) -> National Grid metres (P18) -> :func:`interpolate_job`.
+    Practices without a valid position carry no weight."""
+    placed = index_geo.filter(valid_point("lat", "long")).select("YEAR", "PRACTICE_CODE", "lat", "long", idx.INDEX_COLUMN)
+    xy = materialize(to_bng(placed).filter(valid_point()))  # one row per practice and year
+    return interpolate_job(xy, areas, k, **kw)
+
+
 def map_practice_files(grouped: DataFrame, mapper: DataFrame, dim: DataFrame, area_type: str,
                        year: int | None = None, tag: str | None = None,
                        illness: str | None = None) -> DataFrame:

@@ -202,11 +202,11 @@ ORACLE["scan_epd_typed"] = with_(EPD) + f"""SELECT PRACTICE_CODE, POSTCODE, YEAR
 ORACLE["epd_year_slice"] = with_(EPD) + """SELECT substr(YEAR_MONTH, 1, 4) AS slice_year, COUNT(*) AS n_rows,
   COUNT(DISTINCT YEAR_MONTH) AS n_months, CAST(SUM(ITEMS) AS BIGINT) AS items FROM epd GROUP BY 1"""
 
-ORACLE["postcode_norm"] = with_(EPD) + """SELECT DISTINCT POSTCODE, regexp_replace(POSTCODE, '\\s+', '', 'g') AS no_space,
+ORACLE["postcode_norm"] = with_(EPD) + """SELECT DISTINCT POSTCODE AS raw_postcode, regexp_replace(POSTCODE, '\\s+', '', 'g') AS no_space,
   replace(POSTCODE, ' ', '') AS no_blank, upper(regexp_replace(POSTCODE, '\\s+', '', 'g')) AS postcode FROM epd"""
 
 ORACLE["year_month_parts"] = with_(EPD) + """SELECT DISTINCT YEAR_MONTH, CAST(substr(YEAR_MONTH, 1, 4) AS SMALLINT) AS year,
-  CAST(substr(YEAR_MONTH, 5, 2) AS TINYINT) AS month, substr(YEAR_MONTH, 1, 4) AS YEAR, substr(YEAR_MONTH, 5) AS MONTH,
+  CAST(substr(YEAR_MONTH, 5, 2) AS TINYINT) AS month, substr(YEAR_MONTH, 1, 4) AS year_text, substr(YEAR_MONTH, 5) AS month_text,
   'EPD_' || YEAR_MONTH AS name FROM epd"""
 
 ORACLE["nspl_england"] = with_(NSPL, NSPL_E) + f"""SELECT POSTCODE, {r6("lat", "lat")}, {r6("long", "long")}, msoa11, laua
@@ -224,6 +224,7 @@ ORACLE["england_areas"] = with_(AREAS) + """SELECT code, 1 AS n_parts, 5 AS n_ve
   round(20000.0 * col, 6) AS minx, round(20000.0 * row, 6) AS miny,
   round(20000.0 * col + 20000.0, 6) AS maxx, round(20000.0 * row + 20000.0, 6) AS maxy FROM areas_e"""
 
+# Target name and source column, as in the lookups.
 _nspl_map = [("postcode", "pcds"), ("lat", "lat"), ("long", "long"), ("lsoa21cd", "lsoa21cd"),
              ("msoa21cd", "msoa21cd"), ("county", "cty25cd"), ("lad", "lad25cd"), ("ward", "wd25cd")]
 _ods_map = [("practice_code", "Code"), ("pcn_name", "Is Partner To - Name"),
@@ -255,6 +256,9 @@ ORACLE["month_reprocess"] = with_(EPD, GROUPED) + """SELECT * FROM grouped
 ORACLE["year_medication_totals"] = with_(EPD, GROUPED) + """SELECT year, medication,
   CAST(SUM(total_items) AS BIGINT) AS total_items FROM grouped GROUP BY year, medication"""
 
+ORACLE["analyst_year_totals"] = with_(EPD, GROUPED) + """SELECT year, medication,
+  CAST(SUM(total_items) AS BIGINT) AS total_items FROM grouped WHERE year = 2015 GROUP BY year, medication"""
+
 # ---- dimension ----------------------------------------------------------------------
 
 ORACLE["illness_dim"] = with_(SPEC) + "SELECT illness, COALESCE(tag, '') AS tags, medication FROM dim"
@@ -267,6 +271,9 @@ ORACLE["illness_by_tag"] = with_(SPEC) + "SELECT DISTINCT illness FROM dim WHERE
 ORACLE["meds_filter_totals"] = with_(EPD, GROUPED, SPEC) + """SELECT year, medication,
   CAST(SUM(total_items) AS BIGINT) AS total_items FROM grouped
   WHERE medication IN (SELECT medication FROM dim WHERE tag = 'Loneliness') GROUP BY year, medication"""
+ORACLE["meds_filter_year_totals"] = with_(EPD, GROUPED, SPEC) + """SELECT year, medication,
+  CAST(SUM(total_items) AS BIGINT) AS total_items FROM grouped
+  WHERE year = 2015 AND medication IN (SELECT medication FROM dim WHERE tag = 'Loneliness') GROUP BY year, medication"""
 ORACLE["illness_medication_totals"] = with_(EPD, GROUPED, SPEC) + """SELECT d.illness, g.year,
   CAST(SUM(g.total_items) AS BIGINT) AS total_items, COUNT(DISTINCT g.medication) AS n_medications
   FROM grouped g JOIN (SELECT DISTINCT illness, medication FROM dim) d ON g.medication = d.medication
@@ -299,6 +306,8 @@ ORACLE["practice_index"] = with_(*index_ctes()) + "SELECT " + ", ".join(pidx_col
 ORACLE["practice_index_geo"] = with_(*index_ctes(), NSPL, NSPL_E) + "SELECT " + ", ".join(
     pidx_cols()) + ", " + r6("n.lat", "lat") + ", " + r6("n.long", "long") + \
     ", n.msoa11, n.laua FROM pidx LEFT JOIN nspl_e n USING (POSTCODE)"
+ORACLE["practice_index_saved"] = with_(*index_ctes(), NSPL, NSPL_E) + "SELECT PRACTICE_CODE, YEAR, POSTCODE, ITEMS, " + \
+    r6("loneliness_prac", "loneliness_prac") + ", n.laua AS code FROM pidx LEFT JOIN nspl_e n USING (POSTCODE)"
 ORACLE["single_illness_index"] = with_(*index_ctes(["depression"])) + \
     "SELECT PRACTICE_CODE, YEAR, POSTCODE, " + r6("depression_perc_trim_zscore", "depression_perc_trim_zscore") + \
     ", " + r6("loneliness_prac", "loneliness_prac") + " FROM pidx"
@@ -380,6 +389,12 @@ ORACLE["lisa_scores"] = with_(*GEO, INTERP, NEIGH, LISA) + \
     f"SELECT YEAR, code, {r6('LISA_score', 'LISA_score')}, LISA_support FROM result"
 ORACLE["area_interpolated"] = with_(*GEO, INTERP, NEIGH, LISA) + \
     f"SELECT YEAR, code, {r6('loneliness', 'loneliness')}, {r6('LISA_score', 'LISA_score')}, LISA_support FROM result"
+_XY_GEO = f"""placed AS (SELECT DISTINCT p.PRACTICE_CODE, n.lat, n.long FROM pidx p JOIN nspl_e n USING (POSTCODE)
+  WHERE isfinite(n.lat) AND isfinite(n.long)),
+xy AS (SELECT PRACTICE_CODE, bng_x AS x, bng_y AS y FROM ({_bng_chain("placed")}))"""
+ORACLE["area_interpolated_geo"] = with_(*index_ctes(), NSPL, NSPL_E, _XY_GEO, AREAS, YEARS, SPINE, SOURCES, PAIRS,
+                                        INTERP, NEIGH, LISA) + \
+    f"SELECT YEAR, code, {r6('loneliness', 'loneliness')}, {r6('LISA_score', 'LISA_score')}, LISA_support FROM result"
 ORACLE["parent_area_subset"] = with_(*GEO, INTERP, NEIGH, LISA) + \
     f"""SELECT YEAR, code, {r6('loneliness', 'loneliness')}, {r6('LISA_score', 'LISA_score')}, LISA_support
   FROM result WHERE code IN (SELECT a.code FROM areas a JOIN region r ON a.n_regionkey = r.r_regionkey

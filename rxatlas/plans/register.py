@@ -25,7 +25,8 @@ from rxatlas.operators import index as idx
 from rxatlas.operators import knn
 from rxatlas.operators import manifest as mf
 from rxatlas.operators import qa
-from rxatlas.session import scratch_path
+from rxatlas.plans import jobs
+from rxatlas.session import materialize, scratch_path
 from rxatlas.sources import epd as src_epd
 from rxatlas.sources import fixtures as fx
 from rxatlas.sources import lookups as lk
@@ -42,6 +43,7 @@ RUN_DATE = "2041-06-15"
 PARENT = "EUROPE"
 SINGLE_ILLNESS = "Depression"
 AREA_COL = "laua"
+YEAR = 2015
 
 
 _MEMO: dict = {}
@@ -143,7 +145,7 @@ def _pairs(spark, sf):
 
 
 def _area_result(spark, sf, k=K, index_spec=None):
-    v = _interpolated(spark, sf, k, index_spec)
+    v = materialize(_interpolated(spark, sf, k, index_spec))  # read three times below
     lisa = adj.lisa(v, _pairs(spark, sf), ["YEAR"], "loneliness", LISA_THRESHOLD)
     return v.join(lisa, ["YEAR", "code"], "left")
 
@@ -172,7 +174,7 @@ def q_epd_year_slice(spark, sf):
 @query("postcode_norm")
 def q_postcode_norm(spark, sf):
     p = _epd(spark, sf).select("POSTCODE").distinct()
-    return p.select("POSTCODE", strip_whitespace("POSTCODE").alias("no_space"),
+    return p.select(F.col("POSTCODE").alias("raw_postcode"), strip_whitespace("POSTCODE").alias("no_space"),
                     strip_blanks("POSTCODE").alias("no_blank"),
                     normalise_postcode("POSTCODE").alias("postcode"))
 
@@ -182,7 +184,7 @@ def q_year_month_parts(spark, sf):
     ym = _epd(spark, sf).select("YEAR_MONTH").distinct()
     return ym.select("YEAR_MONTH", year_part("YEAR_MONTH").alias("year"),
                      month_part("YEAR_MONTH").alias("month"),
-                     year_text("YEAR_MONTH").alias("YEAR"), month_text("YEAR_MONTH").alias("MONTH"),
+                     year_text("YEAR_MONTH").alias("year_text"), month_text("YEAR_MONTH").alias("month_text"),
                      dataset_name(year_part("YEAR_MONTH"), month_part("YEAR_MONTH")).alias("name"))
 
 
@@ -259,6 +261,14 @@ def q_year_medication_totals(spark, sf):
     return grp.year_medication_totals(_grouped(spark, sf))
 
 
+@query("analyst_year_totals")
+def q_analyst_year_totals(spark, sf):
+    """C6 + F5: one year's totals from the written base table."""
+    path = scratch_path(spark, "analyst")
+    grp.write_grouped(_grouped(spark, sf), path)
+    return jobs.analyst_totals(spark, path, YEAR)
+
+
 # ---- dimension ------------------------------------------------------------------
 
 @query("illness_dim")
@@ -302,6 +312,23 @@ def q_meds_filter_totals(spark, sf):
     return ill.medication_totals(_grouped(spark, sf), _dim(spark, sf), tag=TAG)
 
 
+@query("meds_filter_year_totals")
+def q_meds_filter_year_totals(spark, sf):
+    """S8 with its year."""
+    return ill.medication_totals(_grouped(spark, sf), _dim(spark, sf), tag=TAG, year=YEAR)
+
+
+@query("practice_index_saved")
+def q_practice_index_saved(spark, sf):
+    """C2 as a job: index with geography written by year (K3), read back
+    under the boundary's area key."""
+    path = scratch_path(spark, "index")
+    jobs.practice_index_job(_epd(spark, sf), _nspl_e(spark, sf), path, _spec(), TAG, fx.FIXTURE_MIN_ITEMS)
+    saved = jobs.read_practice_index(spark, path, AREA_COL, "code")
+    return rounded(saved.select("PRACTICE_CODE", F.col("YEAR").cast("string").alias("YEAR"), "POSTCODE", "ITEMS",
+                                idx.INDEX_COLUMN, "code"))
+
+
 @query("illness_medication_totals")
 def q_illness_medication_totals(spark, sf):
     return ill.illness_medication_totals(_grouped(spark, sf), _dim(spark, sf))
@@ -344,21 +371,26 @@ def q_illness_percent(spark, sf):
     return rounded(idx.illness_percent(_year_counts(spark, sf), _index_spec()))
 
 
+def _percent(spark, sf):
+    """The practice-year percentages, stored: several passes read them."""
+    return materialize(idx.illness_percent(_year_counts(spark, sf), _index_spec()))
+
+
 @query("illness_quantiles")
 def q_illness_quantiles(spark, sf):
-    pct = idx.illness_percent(_year_counts(spark, sf), _index_spec())
+    pct = _percent(spark, sf)
     return rounded(idx.illness_quantiles(pct, _index_spec()))
 
 
 @query("illness_clip")
 def q_illness_clip(spark, sf):
-    pct = idx.illness_percent(_year_counts(spark, sf), _index_spec())
+    pct = _percent(spark, sf)
     return rounded(idx.illness_clip(pct, _index_spec()))
 
 
 @query("illness_zscore")
 def q_illness_zscore(spark, sf):
-    pct = idx.illness_percent(_year_counts(spark, sf), _index_spec())
+    pct = _percent(spark, sf)
     return rounded(idx.illness_zscore(idx.illness_clip(pct, _index_spec()), _index_spec()))
 
 
@@ -488,6 +520,14 @@ def q_area_interpolated(spark, sf):
     return rounded(ar.order_areas(r.select("YEAR", "code", "loneliness", "LISA_score", "LISA_support")))
 
 
+@query("area_interpolated_geo")
+def q_area_interpolated_geo(spark, sf):
+    """C3 end to end: index with geography -> grid metres -> IDW -> LISA, written (K4) and read back."""
+    path = scratch_path(spark, "interpolated")
+    jobs.interpolate_geo_job(_pindex_geo(spark, sf), _areas_e(spark, sf), K, threshold=LISA_THRESHOLD, out_path=path)
+    return rounded(spark.read.parquet(path))
+
+
 # ---- QA -------------------------------------------------------------------------------
 
 @query("index_histogram")

@@ -175,7 +175,7 @@ def illness_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
         "illness string, tags array<string>, noun string")
     names = table(spark, sf_dir, "part").select(F.initcap("p_name").alias("name")).distinct()
     names = names.withColumn("noun", F.element_at(F.split("name", " "), 2))
-    j = spec.join(F.broadcast(names), "noun")  # spec is a fixed 8-row list
+    j = names.join(F.broadcast(spec), "noun")  # spec is a fixed 8-row list
     return (j.groupBy("illness").agg(
         F.first("tags").alias("tags"),
         F.array_sort(F.collect_set(F.struct("name"))).alias("medications")))

@@ -153,3 +153,34 @@ def test_hot_cells_are_split_and_pairs_unchanged(spark):
     split = {(r.code, r.nb) for r in adj.neighbour_pairs(areas, cell=100.0, hot_limit=4).collect()}
     assert plain == split
     assert ("L1", "L2") in split and ("L3", "L3") in split
+
+
+def test_candidates_of_a_far_cluster_stay_near_k(spark):
+    """Targets far from a crowd of locations: the search refines to about k of them."""
+    from rxatlas.session import materialize
+    rng = np.random.RandomState(3)
+    crowd = [("2030", f"P{i}", float(x), float(y), 1.0) for i, (x, y) in enumerate(rng.uniform(0, 50, (4000, 2)))]
+    targets = [(f"E{i}", float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(5e4, 9e4, (40, 2)))]
+    pts = materialize(knn.fold_points(_sources(spark, crowd), ["YEAR"], "v"))
+    t = _targets(spark, targets)
+    cells, located = knn.candidate_cells(t, pts, ["YEAR"], 10, knn._frame(pts, t))
+    per = cells.join(located, ["YEAR", "cx", "cy"]).groupBy("code").count().collect()
+    assert len(per) == 40 and all(10 <= r["count"] <= knn.SETTLED * 10 for r in per)
+    got = {r.code: r.value for r in knn.interpolate(t, _sources(spark, crowd), ["YEAR"], "v", k=10).collect()}
+    assert got == pytest.approx(_brute(targets, crowd, k=10))
+
+
+def test_known_grid_point(spark):
+    """A published worked example: 52.65798, 1.71605 is about E 651409.8, N 313177.4."""
+    from rxatlas.functions.geo import to_bng
+    r = to_bng(spark.createDataFrame([(52.65798, 1.71605)], "lat double, long double")).first()
+    assert abs(r.x - 651409.76) < 0.1 and abs(r.y - 313177.42) < 0.1
+
+
+def test_edges_of_a_hot_cell_split(spark):
+    """Neighbours are the same with hot cells split to the limit."""
+    sq = lambda x, y: [[[{"x": float(x + a), "y": float(y + b)} for a, b in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))]]]
+    areas = spark.createDataFrame([(f"E{i}{j}", sq(i, j)) for i in range(4) for j in range(4)], AREA)
+    plain = {(r.code, r.nb) for r in adj.neighbour_pairs(areas).collect()}
+    split = {(r.code, r.nb) for r in adj.neighbour_pairs(areas, hot_limit=8, max_splits=3).collect()}
+    assert plain == split and ("E00", "E11") in plain and ("E00", "E02") not in plain
