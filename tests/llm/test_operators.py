@@ -241,6 +241,32 @@ def test_vectors(prepared):
     assert neighbours.linked_vectors(df.limit(0))[0].count() == 0
 
 
+def two_groups(rng, size, dim=32):
+    """Unit vectors of two tight groups: cosine about 0.99 inside, 0.91 across."""
+    c = np.linalg.qr(rng.randn(dim, 2))[0].T
+    centres = np.array([c[0], 0.92 * c[0] + np.sqrt(1 - 0.92 ** 2) * c[1]])
+    x = np.repeat(centres, size, 0) + 0.09 / np.sqrt(dim) * rng.randn(2 * size, dim)
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def test_saturated_lists_lose_no_links(prepared, monkeypatch):
+    monkeypatch.setattr(neighbours, "AUDIT", 0)  # the audit must not be what finds them
+    monkeypatch.setattr(neighbours, "AUDIT_GROWTH", 0, raising=False)
+    rng = np.random.RandomState(5)
+    x = np.concatenate((two_groups(rng, 40), rng.randn(60, 32)))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    link = x @ x.T >= 0.9
+    assert link[:40, 40:80].mean() > 0.8 and link[:40, :40].all()
+    df = prepared.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in neighbours.linked_vectors(df)[0].collect()}
+    assert [got[i].n_links for i in range(140)] == (link.sum(1) - 1).tolist()
+    assert {got[i].component_id for i in range(80)} == {0}
+
+
+def test_the_audit_grows():
+    assert neighbours.audit_size(100) == neighbours.AUDIT < neighbours.audit_size(10 ** 7)
+
+
 def test_pipeline(prepared, edge, empty):
     assert corpus_pipeline.run(prepared, SMALL).count() > 0
     docs = edge
