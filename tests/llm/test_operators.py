@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from rxatlas.llm import bpe, common, graph, minhash, neighbours, ngram, packing
@@ -267,6 +268,20 @@ def test_the_audit_grows():
     assert neighbours.audit_size(100) == neighbours.AUDIT < neighbours.audit_size(10 ** 7)
 
 
+def test_hot_codes_are_spread_over_tasks(prepared):
+    rng = np.random.RandomState(1)
+    x = np.ones(16) + 0.01 * rng.randn(4000, 16)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows = [(i, i, v.tobytes()) for i, v in enumerate(x)]
+    prepared.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = neighbours.start(prepared.createDataFrame(rows, "rep long, component long, unit binary"), 4000, 1, 1)
+        got = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        prepared.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(got) >= 6 and max(got) < 0.4 * sum(got)
+
+
 def test_pipeline(prepared, edge, empty):
     assert corpus_pipeline.run(prepared, SMALL).count() > 0
     docs = edge
