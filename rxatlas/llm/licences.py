@@ -8,7 +8,15 @@ bounded sample of the corpus' own paragraphs (``SAMPLE_DOCS`` documents by hash
 of the id, ``SAMPLE_BYTES`` of each) as the unknown class; its probabilities
 are calibrated by temperature on a held-out part. A prediction counts only
 where a template of that family is found again in the unit: at least CONFIRM
-of the template's word pairs.
+of the template's word pairs; if another family's template is found more
+fully there, that one counts.
+
+Licence texts are mostly wrapped or commented, so the templates are also looked
+for in the words of the whole text without line ends, comment marks and
+punctuation, whatever the classifier says: CONFIRM of a long template's pairs
+(SHORT pairs or more), all of a short one's, near together; where templates
+overlap the fuller match counts. A line that is only a licence's name
+(HEADINGS) counts as well. The score of these is the share of pairs found.
 
 Defined cases: null, empty and blank texts have no paragraph and no licence;
 rows are independent, repeated rows are kept; a unit that ties between families
@@ -17,6 +25,8 @@ takes the first by name; an empty corpus trains on templates alone.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,7 +38,8 @@ from rxatlas.llm.common import bounded_sample, columns
 U = np.uint64
 #: Customary wordings of licence notices, by family.
 TEMPLATES = {
-    "agpl": ["This program is licensed under the GNU Affero General Public License, version 3."],
+    "agpl": ["This program is licensed under the GNU Affero General Public License, version 3.",
+             "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"],
     "all-rights-reserved": ["All rights reserved.", "Copyright (c) 2020 The Authors. All rights reserved."],
     "apache": ["Licensed under the Apache License, Version 2.0.",
                "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
@@ -42,7 +53,8 @@ TEMPLATES = {
     "gpl": ["This work is licensed under the GNU General Public License, version 3.",
             "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
             "SPDX-License-Identifier: GPL-3.0-or-later"],
-    "lgpl": ["This library is licensed under the GNU Lesser General Public License, version 2.1."],
+    "lgpl": ["This library is licensed under the GNU Lesser General Public License, version 2.1.",
+             "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"],
     "mit": ["Released under the MIT License.",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
             "SPDX-License-Identifier: MIT"],
@@ -55,6 +67,15 @@ WINDOW, STRIDE = 48, 24
 FEATURE_BITS, GRAMS = 16, 3
 SAMPLE_DOCS, SAMPLE_BYTES, VARIANTS = 600, 4000, 60
 CONFIRM = 0.75
+#: Pairs from which a template may be found in part, and words that may lie between, for each of its own.
+SHORT, SPREAD = 10, 1.5
+#: Names that are a licence's heading.
+HEADINGS = {
+    "agpl": "gnu affero general public license", "apache": "apache license", "bsd": "bsd(?: [234][ -]clause)? license",
+    "gpl": "gnu general public license", "lgpl": "gnu (?:lesser|library) general public license", "mit": "mit license", "mpl": "mozilla public license",
+}
+HEADING = re.compile(r"^[\W_]*(?:the )?(?:" + "|".join(f"(?P<{f}>{x})" for f, x in HEADINGS.items()) + r")[\W_]*$", re.I | re.M)
+MARKS = re.compile(r"[\W_]+")
 
 
 def units(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -84,12 +105,85 @@ def features(h: np.ndarray, breaks: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _plain(text: str) -> str:
+    return MARKS.sub(" ", text)
+
+
+class Finder:
+    """Templates in whole texts, whatever their lines and marks."""
+
+    def __init__(self):
+        self.family, self.need, self.reach, self.sets = [], [], [], []
+        for f in FAMILIES:
+            for t in TEMPLATES[f]:
+                h = tx.words(pa.array([_plain(t)]))[0]
+                pairs = _pairs(h)
+                self.family.append(f)
+                self.need.append(len(pairs) if len(pairs) < SHORT else CONFIRM * len(pairs))
+                self.reach.append(len(h) if len(pairs) < SHORT else int(SPREAD * len(h)))
+                self.sets.append(np.array(sorted(pairs), U))
+        self.all = np.unique(np.concatenate(self.sets))
+
+    def spans(self, k: int, at: np.ndarray, pair: np.ndarray):
+        """(share, begin, end) where template k is found, apart from one another;
+        its pairs ``pair`` occur at the words ``at``."""
+        counts, low, last = {}, 0, None
+        for x, p in zip(at.tolist(), pair.tolist()):
+            counts[p] = counts.get(p, 0) + 1
+            while at[low] < x + 2 - self.reach[k]:
+                q = int(pair[low])
+                counts[q] -= 1
+                if not counts[q]:
+                    del counts[q]
+                low += 1
+            if len(counts) >= self.need[k]:
+                new = len(counts) / len(self.sets[k]), int(at[low]), x + 2
+                if last is not None and new[1] >= last[2]:
+                    yield last
+                    last = None
+                if last is None or new[0] > last[0]:
+                    last = new
+        if last is not None:
+            yield last
+
+    def find(self, texts: list[str]) -> list[dict[str, float]]:
+        """Families of each text, with the largest share of pairs found."""
+        h, ptr = tx.words(pa.array([_plain(t) for t in texts], pa.large_string()))
+        pairs = tx.combine(h[:-1], h[1:]) if len(h) > 1 else np.zeros(0, U)
+        where = np.searchsorted(self.all, pairs)
+        where[where == len(self.all)] = 0
+        hits = np.flatnonzero(self.all[where] == pairs)
+        cuts = np.searchsorted(hits, ptr)
+        out = []
+        for d, t in enumerate(texts):
+            got, found = {}, []
+            own = hits[cuts[d]:cuts[d + 1]]
+            own = own[own < ptr[d + 1] - 1] - ptr[d]
+            pair = pairs[own + ptr[d]]
+            seen = np.unique(pair)
+            for k, x in enumerate(self.sets):
+                if len(x) <= len(seen) + len(x) - self.need[k] and np.isin(x, seen).sum() >= self.need[k]:
+                    mine = np.isin(pair, x)
+                    found += [(-share, b - e, b, e, self.family[k]) for share, b, e in self.spans(k, own[mine], pair[mine])]
+            if found:
+                taken = np.zeros(ptr[d + 1] - ptr[d], bool)
+                for share, _, b, e, f in sorted(found):
+                    if taken[b:e].mean() <= 0.5:
+                        taken[b:e] = True
+                        got[f] = max(got.get(f, 0.0), -share)
+            for m in HEADING.finditer(t) if "icense" in t or "ICENSE" in t else ():
+                got[m.lastgroup] = 1.0
+            out.append(got)
+        return out
+
+
 class Model:
     """Weights float32[GRAMS, 2**FEATURE_BITS, classes], bias and temperature; the last class is unknown."""
 
     def __init__(self, weights, bias, temperature):
         self.weights, self.bias, self.temperature = weights, bias, temperature
         self.templates = {f: [_pairs(*tx.words(pa.array([t]))[:1]) for t in TEMPLATES[f]] for f in FAMILIES}
+        self.finder = Finder()
 
     def logits(self, h: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Of the units ``at``: sums over their n-grams, by running sums."""
@@ -125,11 +219,16 @@ class Model:
                 family = FAMILIES[k[u]]
                 own = _pairs(h[at[u, 0]:at[u, 1]])
                 n, families, other = found[doc]
-                if any(len(own & t) >= CONFIRM * len(t) for t in self.templates[family]):
-                    families[family] = max(families.get(family, 0.0), float(p[u, k[u]]))
+                share = {f: max(len(own & t) / len(t) for t in x) for f, x in self.templates.items()}
+                if share[family] >= CONFIRM:
+                    family = min(share, key=lambda f: (-share[f], f != family, f))
+                    families[family] = max(families.get(family, 0.0), float(p[u, FAMILIES.index(family)]))
                 else:
                     other += 1
                 found[doc] = n, families, other
+        for (_, families, _), whole in zip(found, self.finder.find(texts)):
+            for f, share in whole.items():
+                families.setdefault(f, share)
         return found
 
 

@@ -212,6 +212,21 @@ def test_licences(edge, empty):
     assert scan(empty).count() == 0
 
 
+WRAPPED = {
+    "mit": "/*\n * Permission is hereby granted, free of charge, to any person obtaining a copy\n * of this software and associated documentation files (the \"Software\"), to deal\n */",
+    "bsd": "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions\n# are met:",
+    "agpl": "// This program is free software: you can redistribute it and/or modify\n// it under the terms of the GNU Affero General Public License as published by\n// the Free Software Foundation",
+    "gpl": "   This program is free software: you can redistribute it and/or modify\n   it under the terms of the GNU General Public License as published by\n   the Free Software Foundation",
+    "apache": " * Licensed under the Apache\n * License, Version 2.0",
+}
+
+
+def test_wrapped_licences(prepared):
+    texts = [*WRAPPED.values(), "MIT License", "Redistribution of wealth and use in source\nand binary stars, with or\nwithout modification"]
+    rows = {r.doc_id: r.licences for r in scan(prepared.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [rows[i] for i in range(len(texts))] == [*WRAPPED, "mit", ""]
+
+
 def test_host_rules(prepared, labels):
     pages = prepared.createDataFrame(
         [(1, "http://WWW.Example.com/en/x?q#f", "h"), (2, "https://m.example.com/en/", None), (3, "http://a.net/es/1", None), (4, "http://a.com", None),
