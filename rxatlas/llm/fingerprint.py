@@ -7,7 +7,7 @@ one is an addition or a subtraction on the fingerprint alone.
 
 The vector has two parts. EXACT lanes modulo 2**64 are a 512-bit digest of the
 paragraph: equal multisets have equal sums, others practically never. NEAR
-lanes modulo 2**16 are sums of random signs over the paragraph's word pairs:
+lanes modulo 2**32 are sums of random signs over the paragraph's word pairs:
 their inner products estimate how much two texts share, also where a paragraph
 was changed in part.
 
@@ -37,7 +37,7 @@ RANGES = 4
 
 
 class Fingerprints:
-    """Exact lanes uint64[n, EXACT] and near lanes uint16[n, NEAR] of n texts."""
+    """Exact lanes uint64[n, EXACT] and near lanes uint32[n, NEAR] of n texts."""
 
     def __init__(self, exact: np.ndarray, near: np.ndarray):
         self.exact, self.near = exact, near
@@ -45,7 +45,7 @@ class Fingerprints:
     @classmethod
     def of(cls, texts: list[str]) -> Fingerprints:
         n = len(texts)
-        exact, near = np.zeros((n, EXACT), U), np.zeros((n, NEAR), np.uint16)
+        exact, near = np.zeros((n, EXACT), U), np.zeros((n, NEAR), np.uint32)
         split = [[p for p in t.split("\n") if p and not p.isspace()] for t in texts]
         ptr = np.concatenate(([0], np.cumsum([len(x) for x in split])))
         parts = [p for x in split for p in x]
@@ -63,7 +63,7 @@ class Fingerprints:
             x = h[at[s]:at[e]]
             bits = np.unpackbits(np.stack([tx.mix(x + U(k * 0x51ED27)) for k in range(1, NEAR // 64 + 1)], 1).view(np.uint8), axis=1)
             ones = np.add.reduceat(bits, at[own] - at[s], axis=0, dtype=np.int32)
-            near[own] = (2 * ones - np.diff(at)[own, None]).astype(np.int64).astype(np.uint16)
+            near[own] = (2 * ones - np.diff(at)[own, None]).astype(np.int64).astype(np.uint32)
         return cls(exact, near)
 
     def __add__(self, other: Fingerprints) -> Fingerprints:
@@ -79,14 +79,14 @@ class Fingerprints:
 
     def likeness(self, other: Fingerprints) -> np.ndarray:
         """Estimated 2 * shared / (one's + other's) of the word pairs; 1 for equal multisets."""
-        a, b = self.near.astype(np.int16).astype(float), other.near.astype(np.int16).astype(float)
+        a, b = self.near.astype(np.int32).astype(float), other.near.astype(np.int32).astype(float)
         total = (a * a).sum(1) + (b * b).sum(1)
         shared = np.clip(2 * (a * b).sum(1) / np.maximum(total, 1), 0, 1)
         return np.where((self.exact == other.exact).all(1), 1.0, shared)
 
     def hex(self) -> list[str]:
         """Text form: the lanes in order, little-endian."""
-        wide = np.concatenate((np.ascontiguousarray(self.exact).astype("<u8").view(np.uint8), np.ascontiguousarray(self.near).astype("<u2").view(np.uint8)), axis=1)
+        wide = np.concatenate((np.ascontiguousarray(self.exact).astype("<u8").view(np.uint8), np.ascontiguousarray(self.near).astype("<u4").view(np.uint8)), axis=1)
         return [x.tobytes().hex() for x in wide]
 
 

@@ -191,6 +191,14 @@ def test_fingerprints_are_homomorphic():
     assert (f.take([3]) + f.take([2])).hex() == f.take([0]).hex() and (f.take([0]) - f.take([2])).hex() == f.take([3]).hex()
 
 
+def test_fingerprints_of_very_frequent_pairs():
+    f = Fingerprints.of(["x " * 80_000, "x " * 60_000, "x " * 40_000, "x " * 30_000 + "y " * 10])
+    share = lambda a, b: 2 * a * b / (a * a + b * b)
+    assert f.take([0]).likeness(f.take([1]))[0] == pytest.approx(share(80_000, 60_000), abs=0.01)
+    assert f.take([2]).likeness(f.take([3]))[0] == pytest.approx(share(40_000, 30_000), abs=0.01)
+    assert (f.take([0]) - f.take([1])).near.astype(np.int32).max() == 20_000
+
+
 def test_language_and_toxicity(prepared, edge, empty, labels):
     docs = common.table(prepared, "/root/testdata/sf0.01", "documents")
     truth = {r.doc_id: r.lang for r in docs.collect()}
