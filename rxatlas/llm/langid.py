@@ -1,7 +1,7 @@
 """Language identification with bit-sliced Bloom filters over character n-grams.
 
-One table of bit masks serves all languages: bit l of an entry belongs to the
-filter of language l. The masks at an n-gram's HASHES positions, combined by
+One table of bit masks serves all languages: bit l of an entry, in as many
+64-bit words as the languages need, belongs to the filter of language l. The masks at an n-gram's HASHES positions, combined by
 AND, are the set of all languages that may contain it. A document's decision
 needs one popcount per language, corrected for the filter's false positives.
 
@@ -9,6 +9,8 @@ Learning takes a bounded sample of labelled documents per language
 (``SAMPLE_DOCS``, by hash of the id); an n-gram enters a language's filter when
 at least ``MIN_DOCS`` of the sampled documents hold it and its share there is
 at least ``MIN_SHARE`` of its share in the language where it is most common.
+A language with fewer than ``MIN_DOCS`` documents keeps all its n-grams and
+takes none from others. Letters are those of the Unicode category.
 Everything that is scored is scored over whole texts.
 
 Defined cases: null text or text without a letter is ``und`` with score 0; a
@@ -37,19 +39,18 @@ MIN_DOCS, MIN_SHARE = 2, 0.2
 SIZES = (2, 3, 4)
 TABLE_BITS = 20
 HASHES = 3
-MAX_LANGUAGES = 64
 
 _r = np.random.RandomState(66)
 LETTER_VALUE = _r.randint(1, 2**63 - 1, 0x3000, dtype=np.int64).astype(U) | U(1)
 
 
 def _letters() -> tuple[np.ndarray, np.ndarray]:
-    """For code points below 0x3000: the lower-cased code point of a letter, and whether it is one."""
-    low, letter = np.arange(0x3000), np.zeros(0x3000, bool)
-    for c in range(0x3000):
-        letter[c] = chr(c).isalpha()
-        if letter[c] and len(chr(c).lower()) == 1 and ord(chr(c).lower()) < 0x3000:
-            low[c] = ord(chr(c).lower())
+    """Of every code point: the lower-cased code point of a letter, and whether it is one."""
+    low, letter = np.arange(0x110000, dtype=np.int32), np.array([chr(c).isalpha() for c in range(0x110000)])
+    for c in np.flatnonzero(letter).tolist():
+        x = chr(c).lower()
+        if len(x) == 1 and (c < 0x3000) == (ord(x) < 0x3000):
+            low[c] = ord(x)
     return low, letter
 
 
@@ -67,9 +68,8 @@ def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return np.zeros(0, U), np.zeros(n + 1, np.int64), np.zeros(n, bool)
     code = np.frombuffer(buf.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
     begin = np.concatenate(([0], np.cumsum(lead)))[at]
-    small = np.minimum(code, 0x2FFF)
-    letter = np.where(code < 0x3000, _LETTER[small], code > 0x3040)
-    value = np.where(code < 0x3000, LETTER_VALUE[_LOW[small]], tx.mix(code.astype(U)))
+    letter, low = _LETTER[code], _LOW[code]
+    value = np.where(code < 0x3000, LETTER_VALUE[np.minimum(low, 0x2FFF)], tx.mix(low.astype(U)))
     # one blank (value 1) in front of every run of letters, one after each text's last
     first = letter.copy()
     first[1:] &= ~letter[:-1]
@@ -123,11 +123,11 @@ class Filters:
 
     def __init__(self, languages: list[str], grams_of: list[np.ndarray]):
         self.languages = languages
-        self.table = np.zeros(1 << TABLE_BITS, U)
+        self.table = np.zeros((max(1, -(-len(languages) // 64)), 1 << TABLE_BITS), U)
         for k, h in enumerate(grams_of):
             for p in positions(h):
-                self.table[p] |= U(1 << k)
-        fill = [float((self.table >> U(k) & U(1)).mean()) for k in range(len(languages))]
+                self.table[k // 64, p] |= U(1 << k % 64)
+        fill = [float((self.table[k // 64] >> U(k % 64) & U(1)).mean()) for k in range(len(languages))]
         self.false = np.array(fill) ** HASHES
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
@@ -139,12 +139,13 @@ class Filters:
             if not langs or not len(h):
                 continue
             p = positions(h)
-            mask = self.table[p[0]]
-            for q in p[1:]:
-                mask &= self.table[q]
             full = np.flatnonzero(np.diff(ptr))
-            for k in range(langs):
-                count[k, s + full] = np.add.reduceat((mask >> U(k) & U(1)).astype(np.int64), ptr[full])
+            for w, table in enumerate(self.table):
+                mask = table[p[0]]
+                for q in p[1:]:
+                    mask &= table[q]
+                for k in range(64 * w, min(langs, 64 * w + 64)):
+                    count[k, s + full] = np.add.reduceat((mask >> U(k % 64) & U(1)).astype(np.int64), ptr[full])
         if not langs:
             return ["und"] * n, np.zeros(n)
         share = (count / np.maximum(total, 1) - self.false[:, None]) / (1 - self.false[:, None])
@@ -158,7 +159,7 @@ def learn(docs: DataFrame) -> Filters:
     bounded sample per language; n-grams are counted in Spark, a document at
     most once each."""
     rows = docs.where("text is not null and lang is not null")
-    names = sorted(r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect())
+    names = sorted(r.lang for r in rows.select("lang").distinct().collect())  # one row a language
     if not names:
         return Filters([], [])
     order = W.partitionBy("lang").orderBy("h", "doc_id")
@@ -167,8 +168,8 @@ def learn(docs: DataFrame) -> Filters:
     part = near.withColumn("p", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(64)))
     few = (part.withColumn("r", F.row_number().over(W.partitionBy("lang", "p").orderBy("h", "doc_id")))
            .where(F.col("r") <= SAMPLE_DOCS).withColumn("r", F.row_number().over(order)).where(F.col("r") <= SAMPLE_DOCS))
-    few = F.broadcast(few.where(F.col("lang").isin(names)).select("doc_id").distinct())  # at most SAMPLE_DOCS * MAX_LANGUAGES ids
-    sample = rows.where(F.col("lang").isin(names)).join(few, "doc_id", "left_semi").select("doc_id", "lang", "text")
+    few = F.broadcast(few.select("doc_id").distinct())  # at most SAMPLE_DOCS ids a language
+    sample = rows.join(few, "doc_id", "left_semi").select("doc_id", "lang", "text")
     index = {x: k for k, x in enumerate(names)}
 
     def run(batches):
@@ -192,11 +193,12 @@ def learn(docs: DataFrame) -> Filters:
 
     size = {r.lang: r["count"] for r in sample.groupBy("lang").count().collect()}
     counted = sample.mapInArrow(run, "lang int, gram long, docs long").groupBy("lang", "gram").agg(F.sum("docs").alias("docs"))
-    counted = counted.where(F.col("docs") >= F.least(F.lit(MIN_DOCS), F.lit(max(1, max(size.values(), default=0) // 4))))
-    pairs = [F.lit(x) for k, n in enumerate(names) for x in (k, float(size.get(n, 1)))]
-    share = counted.withColumn("share", F.col("docs") / F.element_at(F.create_map(*pairs), F.col("lang")))
-    best = share.groupBy("gram").agg(F.max("share").alias("best"))
-    kept = share.join(best, "gram").where(F.col("share") >= MIN_SHARE * F.col("best"))
+    sizes = F.broadcast(docs.sparkSession.createDataFrame([(k, size.get(x, 1)) for k, x in enumerate(names)], "lang int, size long"))
+    least = min(MIN_DOCS, max(1, max(size.values(), default=0) // 4))
+    counted = counted.join(sizes, "lang").where(F.col("docs") >= F.least(F.lit(least), "size"))
+    share = counted.withColumn("share", F.col("docs") / F.col("size"))
+    best = share.groupBy("gram").agg(F.max(F.when(F.col("size") >= least, F.col("share"))).alias("best"))
+    kept = share.join(best, "gram").where(F.col("share") >= MIN_SHARE * F.coalesce("best", F.lit(0.0)))
     # bounded by the sample: at most SAMPLE_DOCS * SAMPLE_BYTES * len(SIZES) per language
     got = kept.select("lang", "gram").toArrow()
     lang, gram = got.column("lang").to_numpy(), got.column("gram").to_numpy().view(U)
@@ -205,7 +207,7 @@ def learn(docs: DataFrame) -> Filters:
 
 def identify(docs: DataFrame, filters: Filters, *keep: str) -> DataFrame:
     """(doc_id, ``keep``..., lang_pred, score) for every row of ``docs``."""
-    sent = docs.sparkSession.sparkContext.broadcast(filters)  # 8 MB, whatever the input
+    sent = docs.sparkSession.sparkContext.broadcast(filters)  # 8 MB for each 64 languages, whatever the input
     schema = docs.select("doc_id", *keep).schema.add("lang_pred", "string").add("lang_score", "double")
 
     def run(batches):

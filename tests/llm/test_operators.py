@@ -15,7 +15,7 @@ from rxatlas.llm import bpe, common, graph, minhash, neighbours, ngram, packing
 from rxatlas.llm import text as tx
 from rxatlas.llm.fingerprint import Fingerprints, edited, fingerprints
 from rxatlas.llm.hosts import judge
-from rxatlas.llm.langid import language_of
+from rxatlas.llm.langid import language_of, learn
 from rxatlas.llm.licences import scan
 from rxatlas.llm.queries import QUERIES, vocabulary
 from rxatlas.llm.toxicity import toxicity
@@ -214,6 +214,15 @@ def test_language_and_toxicity(prepared, edge, empty, labels):
     assert len(rows) == len(ROWS) and all(0 <= r.score <= 1 for r in rows) and toxicity(empty, labels.limit(0)).count() == 0
 
 
+def test_more_languages_than_a_mask_word(prepared):
+    rng = np.random.RandomState(3)
+    text = lambda k: " ".join("".join(chr(0x4E00 + 8 * k + x) for x in rng.randint(0, 8, 5)) for _ in range(200))
+    rows = [(100 * k + i, text(k), f"l{k:02}") for k in range(70) for i in range(12 if k == 0 else 1 if k == 69 else 2)]
+    filters = learn(prepared.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert filters.predict(pa.array([text(k) for k in range(70)]))[0] == [f"l{k:02}" for k in range(70)]
+    assert filters.predict(pa.array(["\U0001F600\U0001F680 \uFF01\uFF1F \u3002"]))[0] == ["und"]
+
+
 def test_licences(edge, empty):
     rows = {r.doc_id: r for r in scan(edge).collect()}
     assert rows[12].licences == "apache" and rows[1].licences == "" and rows[4].n_paragraphs == 0
