@@ -92,3 +92,21 @@ SELECT v.vec_id, (SELECT count(*) FROM links WHERE a = v.vec_id) AS n_links, l.c
        coalesce(v.vec_id = l.component_id, false) AS kept
 FROM embeddings v LEFT JOIN lowest l ON l.id = v.vec_id
 """
+
+ORACLE["op13_bloom_lines"] = r"""
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (
+  SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM split),
+keyed AS (
+  SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM lines),
+frequent AS (
+  SELECT k, max(doc_id) AS top FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+marked AS (
+  SELECT doc_id, pos, line, f.top IS NOT NULL AND f.top <> doc_id AS gone FROM keyed LEFT JOIN frequent f ON f.k = keyed.k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""

@@ -97,3 +97,11 @@ def op10_licence_scan(spark, sf_dir):
     """Licence families of every document."""
     from rxatlas.llm.licences import scan
     return scan(common.table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_bloom_lines(spark, sf_dir):
+    """Every document without the lines that at least five documents repeat."""
+    from rxatlas.llm.lines import drop_repeated_lines
+    found = drop_repeated_lines(common.table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))

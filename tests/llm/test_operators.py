@@ -323,4 +323,4 @@ def test_pipeline(prepared, edge, empty):
         assert stage(prepared, empty, SMALL).count() == 0
     kept = [r.doc_id for r in docs.collect()]
     assert len(kept) == len(set(kept)) and 2 not in kept and 4 not in kept
-    assert set(QUERIES) == {q for q in QUERIES if re.fullmatch(r"op\d+_\w+", q)} and len(QUERIES) == 10
+    assert set(QUERIES) == {q for q in QUERIES if re.fullmatch(r"op\d+_\w+", q)} and len(QUERIES) == 13
