@@ -29,10 +29,10 @@ def op5_minhash_neardup(spark, sf_dir):
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
-def vocabulary() -> str:
-    """Default place of the vocabulary file."""
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """Default place of a vocabulary file."""
     import public_tokenizers
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @query
@@ -105,3 +105,19 @@ def op13_bloom_lines(spark, sf_dir):
     from rxatlas.llm.lines import drop_repeated_lines
     found = drop_repeated_lines(common.table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op11_exact_text_alignment(spark, sf_dir):
+    """Alignment of two tokenizers on every document."""
+    from rxatlas.llm.align import align_tokenizers
+    found = align_tokenizers(common.table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+@query
+def op12_vgram_variants(spark, sf_dir):
+    """Near words and forms of all words that occur twice."""
+    from rxatlas.llm.variants import count_words, group_variants
+    words = count_words(common.table(spark, sf_dir, "documents"), least_chars=7, typos=31)
+    return group_variants(words.where("n >= 2"), least_chars=7, ratio=10)
