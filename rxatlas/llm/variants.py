@@ -38,6 +38,7 @@ import collections
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,8 +49,9 @@ BEGIN, END = "^", "$"
 QMIN, QMAX = 2, 6
 #: Longest list of a gram that isn't heavy while the vocabulary is small; heavy grams of one length at most.
 LEAST_LIST, DICTIONARY = 64, 1 << 15
-#: Words, or rows of an index, that a task holds before it hands them on.
-HELD = 300_000
+#: Words that a task holds before it hands them on, rows of an index that it hands on together, words of an index task.
+HELD, BATCH, TASK_WORDS = 800_000, 200_000, 30_000
+LONG_WORD, HASH_BASE, HASH_PRIME = 64, 0x9E3779B97F4A7C15 % (2**61 - 1), 2**61 - 1
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -140,12 +142,31 @@ def affected(grams: list[tuple[int, int]], n: int) -> int:
     return max(over[1:n])
 
 
+def hole_keys(word: str, shorter: int) -> list[str]:
+    """The lists of a word under itself with a letter left out; a word of length
+    c+1 stands where a shorter one would be it. Of long words the key holds a
+    hash, so that a word's keys grow with its length and not with its square."""
+    n, own = len(word), len(word) == shorter
+    if shorter <= LONG_WORD:
+        if not own:
+            return [f"{shorter}-{word[:i]}{word[i + 1:]}" for i in range(n)]
+        return [f"{shorter}-{word}", *[f"{shorter}*{word[:i]}*{word[i + 1:]}" for i in range(n)]]
+    upto, power = [0], [1]
+    for ch in word:
+        upto.append((upto[-1] * HASH_BASE + ord(ch)) % HASH_PRIME)
+        power.append(power[-1] * HASH_BASE % HASH_PRIME)
+    holes = [((upto[i] - upto[i + 1]) * power[n - i - 1] + upto[n]) % HASH_PRIME for i in range(n)]
+    if not own:
+        return [f"{shorter}-{h}" for h in holes]
+    return [f"{shorter}-{upto[n]}", *[f"{shorter}*{i}*{h}" for i, h in enumerate(holes)]]
+
+
 def index_keys(word: str, shorter: int, heavy: set[str]) -> set[str]:
     """The lists of class ``shorter`` that the word stands in."""
     w = BEGIN + word + END
     grams = decompose(w, min(QMAX, (shorter + 2) // 2), heavy)
     bound = affected(grams, len(w))
-    order = sorted((w[p:e] in heavy, zlib.crc32(w[p:e].encode()), w[p:e], p, e) for p, e in grams)
+    order = sorted((w[p:e] in heavy, e - p, w[p:e], p, e) for p, e in grams)  # a short gram that isn't heavy is a rare one
     keys, before, last = set(), 0, None
     for k, (is_heavy, _, g, p, e) in enumerate(order):
         if g != last:
@@ -153,11 +174,7 @@ def index_keys(word: str, shorter: int, heavy: set[str]) -> set[str]:
         if before > bound:
             break
         if is_heavy:
-            if len(word) == shorter:
-                keys.add(f"{shorter}-{word}")
-                keys.update(f"{shorter}*{word[:i]}*{word[i + 1:]}" for i in range(len(word)))
-            else:
-                keys.update(f"{shorter}-{word[:i]}{word[i + 1:]}" for i in range(len(word)))
+            keys.update(hole_keys(word, shorter))
             break
         keys.add(f"{shorter}<{w[:e]}")
         keys.add(f"{shorter}>{w[p:]}")
@@ -182,49 +199,67 @@ def near_pairs(words: DataFrame, heavy: set[str], least_chars: int) -> DataFrame
 
     def index(batches):
         dictionary = sent.value
-        keys, own = [], []
+        classes, keys, own = [], [], []
+
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array(classes, pa.int32()), pa.array(keys, pa.string()), pa.array(own, pa.string())],
+                                              names=["class", "key", "word"])
+
         for b in batches:
             for w in b.column("word").to_pylist():
                 for c in (len(w), len(w) - 1):
                     if c >= least_chars:
                         found = index_keys(w, c, dictionary)
                         keys.extend(found)
+                        classes.extend([c] * len(found))
                         own.extend([w] * len(found))
-            if len(keys) > HELD:
-                yield pa.RecordBatch.from_pydict({"key": keys, "word": own})
-                keys, own = [], []
+            if len(keys) > BATCH:
+                yield rows()
+                classes, keys, own = [], [], []
         if keys:
-            yield pa.RecordBatch.from_pydict({"key": keys, "word": own})
-
-    def pairs(key: str, members: list[str]):
-        shorter = int(re.match(r"\d+", key)[0])
-        by_length = sorted(members, key=len)
-        for i, a in enumerate(by_length):
-            if len(a) > shorter:  # words of length c+1 meet each other in class c+1
-                return
-            for b in by_length[i + 1:]:
-                if near(a, b):
-                    yield (a, b) if a < b else (b, a)
+            yield rows()
+
+    def pairs(shorter: int, members: list[str], found: set):
+        own = [w for w in members if len(w) == shorter]
+        longer = [w for w in members if len(w) != shorter]  # these meet each other in class c+1
+        for i, a in enumerate(own):
+            for x in own[i + 1:]:
+                if near(a, x):
+                    found.add((a, x) if a < x else (x, a))
+            for x in longer:
+                if near(a, x):
+                    found.add((a, x) if a < x else (x, a))
 
     def verify(batches):
-        last, members = None, []
+        rest = None  # the rows of a batch's last list, which may go on
         for batch in batches:
-            found = set()
-            for k, w in zip(batch.column("key").to_pylist(), batch.column("word").to_pylist()):
-                if k != last:
-                    if len(members) > 1:
-                        found.update(pairs(last, members))
-                    last, members = k, []
-                members.append(w)
+            if rest is not None:
+                batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+            key, shorter = batch.column("key").to_numpy(), batch.column("class").to_numpy()
+            cut = np.flatnonzero((key[1:] != key[:-1]) | (shorter[1:] != shorter[:-1])) + 1
+            last = int(cut[-1]) if len(cut) else 0
+            rest = batch.slice(last)
+            yield from listed(batch.slice(0, last), np.concatenate(([0], cut))[:len(cut) + 1], shorter)
+        if rest is not None:
+            yield from listed(rest, np.array([0, rest.num_rows]), rest.column("class").to_numpy())
+
+    def listed(batch, edge, shorter):
+        size = np.diff(edge)
+        many = np.flatnonzero(size > 1)  # a list of one has no pair
+        if len(many):
+            at = np.repeat(edge[many] - np.concatenate(([0], np.cumsum(size[many])[:-1])), size[many]) + np.arange(size[many].sum())
+            words_, ptr, found = batch.column("word").take(pa.array(at)).to_pylist(), 0, set()
+            for k, n in zip(edge[many].tolist(), size[many].tolist()):
+                pairs(int(shorter[k]), words_[ptr:ptr + n], found)
+                ptr += n
             if found:
-                a, b = zip(*found)
-                yield pa.RecordBatch.from_pydict({"a": list(a), "b": list(b)})
-        if len(members) > 1 and (found := set(pairs(last, members))):
-            a, b = zip(*found)
-            yield pa.RecordBatch.from_pydict({"a": list(a), "b": list(b)})
-
-    rows = words.select("word").mapInArrow(index, "key string, word string")
-    lists = rows.repartition("key").sortWithinPartitions("key")
+                a, x = zip(*found)
+                yield pa.RecordBatch.from_pydict({"a": list(a), "b": list(x)})
+
+    n = words.count()
+    rows = words.select("word").repartition(max(1, -(-n // TASK_WORDS)), "word").mapInArrow(index, "class int, key string, word string")
+    # lists are told apart by a hash: where two meet, their pairs are verified all the same
+    lists = rows.select("class", F.xxhash64("key").alias("key"), "word").repartition("key").sortWithinPartitions("key", "class")
     return lists.mapInArrow(verify, "a string, b string").distinct()
 
 

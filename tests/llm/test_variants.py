@@ -120,6 +120,15 @@ def test_defined_cases(prepared):
     assert variants.near("abcdefg", "abcdefg") is False and variants.near("abcdefg", "bcdefgh") is False
 
 
+def test_long_words(prepared):
+    base = ["ab" * 60, "a" * 3000, "abc" * 40]
+    words = {w: 2 for w in base} | {w[:70] + w[71:]: 40 for w in base} | {w[:50] + "z" + w[51:]: 3 for w in base} | {w[:90] + "y" + w[90:]: 500 for w in base}
+    df = prepared.createDataFrame(list(words.items()), "word string, n long")
+    assert got(variants.group_variants(df)) == brute_variants(words)
+    heavy = variants.heavy_grams(df, 1, 1 << 15)
+    assert sum(map(len, variants.index_keys("a" * 3000, 3000, heavy | {"a" * k for k in range(2, 7)}))) < 200_000
+
+
 def test_roots_of_chains(prepared):
     forms = [(f"w{i}", f"w{i + 1}") for i in range(11)] + [("z", "w3")]
     found = {r.word: r.root for r in variants.roots(prepared.createDataFrame(forms, "word string, form string")).collect()}
