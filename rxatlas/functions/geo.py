@@ -1,4 +1,4 @@
-"""WGS84 longitude/latitude -> British National Grid metres.
+"""WGS84 longitude/latitude <-> British National Grid metres.
 
 Published Ordnance Survey method: geodetic -> cartesian on WGS84, a
 seven-parameter Helmert shift to OSGB36, back to geodetic on Airy 1830
@@ -86,22 +86,97 @@ def bng_steps(lat: str = "lat", lon: str = "long") -> list[tuple[str, str]]:
     return steps
 
 
-def to_bng(df: DataFrame, lat: str = "lat", lon: str = "long",
-           x: str = "x", y: str = "y") -> DataFrame:
-    """Add projected ``x``, ``y`` (metres) to ``df``."""
-    keep = df.columns
-    steps = bng_steps("lat", "long")
-    fields = ["lat", "long"]
-    cur = f"named_struct('lat', `{lat}`, 'long', `{lon}`)"
-    for name, expr in steps:
+#: Steps of the two fixed-point iterations of the inverse; each gains more than two digits.
+FOOTPOINT_ITERATIONS, INVERSE_LAT_ITERATIONS = 7, 7
+
+
+def _inverse_shift() -> list[list[float]]:
+    """The inverse of the Helmert matrix (scale and rotations), by cofactors."""
+    sec = math.pi / (180 * 3600)
+    rx, ry, rz = (r * sec for r in HELMERT_R)
+    k = 1 + HELMERT_S
+    m = [[k, -rz, ry], [rz, k, -rx], [-ry, rx, k]]
+    cof = [[m[(i + 1) % 3][(j + 1) % 3] * m[(i + 2) % 3][(j + 2) % 3] - m[(i + 1) % 3][(j + 2) % 3] * m[(i + 2) % 3][(j + 1) % 3]
+            for j in range(3)] for i in range(3)]
+    det = sum(m[0][j] * cof[0][j] for j in range(3))
+    return [[cof[j][i] / det for j in range(3)] for i in range(3)]
+
+
+def wgs84_steps(x: str = "x", y: str = "y") -> list[tuple[str, str]]:
+    """Ordered (column, SQL expression) pairs from grid metres to ``wgs_lat``
+    and ``wgs_lon``: footpoint latitude by iteration of the meridian arc, the
+    inverse series, the exact inverse of the datum shift. The forward way drops
+    the height that the shift gives a point, so the way back finds the height on
+    Airy for which the point lies on WGS84, in a second pass."""
+    e2w = 1 - WGS84_B ** 2 / WGS84_A ** 2
+    e2a = 1 - AIRY_B ** 2 / AIRY_A ** 2
+    n = (AIRY_A - AIRY_B) / (AIRY_A + AIRY_B)
+    phi0, lam0 = math.radians(NG_LAT0), math.radians(NG_LON0)
+    aF, bF = AIRY_A * NG_F0, AIRY_B * NG_F0
+    L, inv = _lit, _inverse_shift()
+    arc = (f"{L(bF)} * ({L(1 + n + 1.25 * n**2 + 1.25 * n**3)} * (_f - {L(phi0)})"
+           f" - {L(3 * n + 3 * n**2 + 21 / 8 * n**3)} * sin(_f - {L(phi0)}) * cos(_f + {L(phi0)})"
+           f" + {L(15 / 8 * n**2 + 15 / 8 * n**3)} * sin(2 * (_f - {L(phi0)})) * cos(2 * (_f + {L(phi0)}))"
+           f" - {L(35 / 24 * n**3)} * sin(3 * (_f - {L(phi0)})) * cos(3 * (_f + {L(phi0)})))")
+    steps = [("_f", f"{L(phi0)} + ({y} - {L(NG_N0)}) / {L(aF)}")]
+    steps += [("_f", f"_f + ({y} - {L(NG_N0)} - {arc}) / {L(aF)}")] * FOOTPOINT_ITERATIONS
+    steps += [
+        ("_t", "tan(_f)"), ("_sec", "1 / cos(_f)"), ("_w", f"1 - {L(e2a)} * sin(_f) * sin(_f)"),
+        ("_nu", f"{L(aF)} / sqrt(_w)"), ("_rho", f"{L(aF * (1 - e2a))} / (_w * sqrt(_w))"), ("_eta2", "_nu / _rho - 1"),
+        ("_d", f"({x} - {L(NG_E0)}) / _nu"),
+        ("_phi2", "_f - _t * _nu / _rho * (power(_d, 2) / 2"
+                  " - power(_d, 4) / 24 * (5 + 3 * _t * _t + _eta2 - 9 * _t * _t * _eta2)"
+                  " + power(_d, 6) / 720 * (61 + 90 * _t * _t + 45 * power(_t, 4)))"),
+        ("_lam2", f"{L(lam0)} + _sec * (_d - power(_d, 3) / 6 * (_nu / _rho + 2 * _t * _t)"
+                  " + power(_d, 5) / 120 * (5 + 28 * _t * _t + 24 * power(_t, 4))"
+                  " - power(_d, 7) / 5040 * (61 + 662 * _t * _t + 1320 * power(_t, 4) + 720 * power(_t, 6)))"),
+        ("_nua", f"{L(AIRY_A)} / sqrt(1 - {L(e2a)} * sin(_phi2) * sin(_phi2))"),
+        ("_h", "0D"),
+    ]
+    for _ in range(2):  # once for the height, once with it
+        steps += [
+            ("_X2", f"(_nua + _h) * cos(_phi2) * cos(_lam2) - {L(HELMERT_T[0])}"),
+            ("_Y2", f"(_nua + _h) * cos(_phi2) * sin(_lam2) - {L(HELMERT_T[1])}"),
+            ("_Z2", f"({L(1 - e2a)} * _nua + _h) * sin(_phi2) - {L(HELMERT_T[2])}"),
+            *[(c, " + ".join(f"{L(inv[i][j])} * {d}" for j, d in enumerate(("_X2", "_Y2", "_Z2")))) for i, c in enumerate(("_X", "_Y", "_Z"))],
+            ("_p", "sqrt(_X * _X + _Y * _Y)"), ("_phi", f"atan2(_Z, _p * {L(1 - e2w)})"),
+            *[("_phi", f"atan2(_Z + {L(e2w)} * ({L(WGS84_A)} / sqrt(1 - {L(e2w)} * sin(_phi) * sin(_phi))) * sin(_phi), _p)")] * INVERSE_LAT_ITERATIONS,
+            ("_h", f"_h - (_p / cos(_phi) - {L(WGS84_A)} / sqrt(1 - {L(e2w)} * sin(_phi) * sin(_phi)))"),
+        ]
+    return steps + [("wgs_lat", "degrees(_phi)"), ("wgs_lon", "degrees(atan2(_Y, _X))")]
+
+
+#: Steps that one expression nests; longer chains go on from the struct of the one before.
+NESTED_STEPS = 16
+
+
+def _run_steps(df: DataFrame, start: dict[str, str], steps: list[tuple[str, str]], out: dict[str, str]) -> DataFrame:
+    """``df`` with the columns ``out`` (name: step): the steps run inside
+    structs, so that each is evaluated once a row."""
+    keep, fields = df.columns, list(start)
+    cur = "named_struct(" + ", ".join(f"'{k}', `{v}`" for k, v in start.items()) + ")"
+    for k, (name, expr) in enumerate(steps):
         names = sorted(set(fields), key=len, reverse=True)
         body = re.sub(r"\b(" + "|".join(re.escape(n) for n in names) + r")\b", r"s.\1", expr)
         keep_f = [f for f in dict.fromkeys(fields) if f != name]
         parts = ", ".join(f"'{f}', s.{f}" for f in keep_f)
         cur = f"transform(array({cur}), s -> named_struct({parts}, '{name}', {body}))[0]"
         fields = keep_f + [name]
-    out = df.select(*keep, F.expr(cur).alias("_bng"))
-    return out.select(*keep, F.col("_bng.bng_x").alias(x), F.col("_bng.bng_y").alias(y))
+        if k % NESTED_STEPS == NESTED_STEPS - 1:
+            df, cur = df.select(*keep, F.expr(cur).alias("_steps")), "_steps"
+    df = df.select(*keep, F.expr(cur).alias("_steps"))
+    return df.select(*keep, *[F.col(f"_steps.{step}").alias(c) for c, step in out.items()])
+
+
+def to_bng(df: DataFrame, lat: str = "lat", lon: str = "long",
+           x: str = "x", y: str = "y") -> DataFrame:
+    """Add projected ``x``, ``y`` (metres) to ``df``."""
+    return _run_steps(df, {"lat": lat, "long": lon}, bng_steps("lat", "long"), {x: "bng_x", y: "bng_y"})
+
+
+def from_bng(df: DataFrame, x: str = "x", y: str = "y", lat: str = "lat", lon: str = "long") -> DataFrame:
+    """Add WGS84 ``lat``, ``lon`` (degrees) of the grid points ``x``, ``y``: the inverse of :func:`to_bng`."""
+    return _run_steps(df, {"x": x, "y": y}, wgs84_steps("x", "y"), {lat: "wgs_lat", lon: "wgs_lon"})
 
 
 def valid_point(x: str = "x", y: str = "y") -> F.Column:

@@ -1,13 +1,20 @@
 """Centroids, area adjacency ("not disjoint") and LISA.
 
 Adjacency is found without comparing every pair of areas: polygons are cut
-into edges, each edge is assigned to the grid cells its bounding box covers,
-and edges meeting in a cell are tested exactly (orientation signs; shared
-vertices and collinear overlaps count as touching). Areas that lie wholly
-inside another without any edge contact are added by a point-in-polygon
-test (even-odd over all rings, so a hole counts as outside). Every area is
-its own neighbour. Boundaries change yearly, so the pair table is meant to
-be computed once and stored.
+into edges, each edge is assigned to the grid cells it passes through, and edges
+meeting in a cell are tested exactly (orientation signs; shared vertices and
+collinear overlaps count as touching). Areas that lie wholly inside another
+without any edge contact are added by a point-in-polygon test (even-odd over all
+rings, so a hole counts as outside). Every area is its own neighbour.
+
+Sizes may differ by any factor, one nation among small areas included. A long
+edge is taken in pieces of a cell's length, so its cells follow its length and
+not its box: all edges together have at most 1.25 pieces each on average. Boxes
+are covered at the level of a cell quadtree where a cell is as large as the box
+(four cells at most), and meet smaller ones there.
+
+Boundaries change now and then, a few areas at a time: :func:`update_pairs`
+keeps a stored pair table and joins again only what lies near a change.
 """
 
 from __future__ import annotations
@@ -72,9 +79,83 @@ def default_cell(edge_df: DataFrame) -> float:
     return float(m) * 4.0 if m else 1.0
 
 
-def _cells(minx, miny, maxx, maxy, g):
-    return (F.explode(F.sequence(F.floor(minx / g).cast("bigint"), F.floor(maxx / g).cast("bigint"))),
-            F.explode(F.sequence(F.floor(miny / g).cast("bigint"), F.floor(maxy / g).cast("bigint"))))
+EDGE_CELLS = """
+array_distinct(flatten(transform(sequence(0, n - 1), i -> flatten(transform(
+  sequence(cast(floor((least(s.x1 + (s.x2 - s.x1) * i / n, s.x1 + (s.x2 - s.x1) * (i + 1) / n) - {m}) / {g}) as bigint),
+           cast(floor((greatest(s.x1 + (s.x2 - s.x1) * i / n, s.x1 + (s.x2 - s.x1) * (i + 1) / n) + {m}) / {g}) as bigint)),
+  cx -> transform(
+    sequence(cast(floor((least(s.y1 + (s.y2 - s.y1) * i / n, s.y1 + (s.y2 - s.y1) * (i + 1) / n) - {m}) / {g}) as bigint),
+             cast(floor((greatest(s.y1 + (s.y2 - s.y1) * i / n, s.y1 + (s.y2 - s.y1) * (i + 1) / n) + {m}) / {g}) as bigint)),
+    cy -> named_struct('cx', cx, 'cy', cy)))))))
+"""
+
+
+def edge_cells(e: DataFrame, g: float) -> DataFrame:
+    """(code, s, cx, cy): the cells of side ``g`` that each edge's pieces, no
+    longer than a cell, touch (with a margin for the pieces' rounded ends)."""
+    s = F.struct("x1", "y1", "x2", "y2").alias("s")
+    n = F.greatest(F.lit(1), F.ceil(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")) / g).cast("int")).alias("n")
+    c = e.select("code", s, n).select("code", "s", F.explode(F.expr(EDGE_CELLS.format(g=repr(float(g)) + "D", m=repr(g * 1e-9) + "D"))).alias("c"))
+    return c.select("code", "s", "c.cx", "c.cy")
+
+
+def boxes(areas: DataFrame) -> DataFrame:
+    """(code, minx, miny, maxx, maxy) of each area."""
+    v = F.flatten(F.flatten("parts"))
+    x, y = F.transform(v, lambda p: p["x"]), F.transform(v, lambda p: p["y"])
+    return areas.select("code", F.array_min(x).alias("minx"), F.array_min(y).alias("miny"), F.array_max(x).alias("maxx"), F.array_max(y).alias("maxy"))
+
+
+def _side():
+    return F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
+
+
+def _level(g: float):
+    """The quadtree level (cells of side g at level 0) where a cell is as large as the box."""
+    return F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(_side(), F.lit(g)) / g))).cast("int")
+
+
+def _at_levels(b: DataFrame, g: float) -> DataFrame:
+    """``b`` with a row for each cell (L, cx, cy) that the box touches at level L; at most four."""
+    size = F.lit(float(g)) * F.pow(F.lit(2.0), F.col("L"))
+    lo = lambda c: F.floor(F.col(c) / size).cast("bigint")
+    return b.withColumn("cx", F.explode(F.sequence(lo("minx"), lo("maxx")))).withColumn("cy", F.explode(F.sequence(lo("miny"), lo("maxy"))))
+
+
+def meeting_boxes(a: DataFrame, b: DataFrame, g: float | None = None) -> DataFrame:
+    """(code, other) for every box of ``a`` and of ``b`` (code, minx, miny, maxx,
+    maxy) that share a point.
+
+    The larger box of a pair has at most four cells at its own level, and the
+    smaller one at most four there: each box is listed at its own level and looked
+    up at the coarser levels that the other table has (a level for each doubling
+    of the side at most). ``g``: the side of the smallest cells.
+    """
+    if g is None:
+        r = a.union(b).agg(F.min(F.when(_side() > 0, _side())).alias("lo"), F.max(_side()).alias("hi")).first()
+        g = max(r.lo or 1.0, (r.hi or 1.0) / 2.0 ** 40)
+    a, b = a.withColumn("own", _level(g)), b.withColumn("own", _level(g))
+    levels = {k: sorted(r.own for r in x.select("own").distinct().collect()) for k, x in (("a", a), ("b", b))}
+
+    def home(x):
+        return _at_levels(x.withColumn("L", F.col("own")), g)
+
+    def visits(x, at):
+        return _at_levels(x.withColumn("L", F.explode(F.filter(F.array(*[F.lit(k) for k in at]).cast("array<int>"), lambda k: k > F.col("own")))), g)
+
+    def joined(x, y):
+        x, y = x.alias("x"), y.alias("y")
+        on = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("L", "cx", "cy")]
+        meet = ((F.col("x.minx") <= F.col("y.maxx")) & (F.col("y.minx") <= F.col("x.maxx"))
+                & (F.col("x.miny") <= F.col("y.maxy")) & (F.col("y.miny") <= F.col("x.maxy")))
+        return x.join(y, on).where(meet).select(F.col("x.code").alias("code"), F.col("y.code").alias("other"))
+
+    out = joined(home(a), home(b))
+    if levels["b"]:
+        out = out.union(joined(visits(a, levels["b"]), home(b)))
+    if levels["a"]:
+        out = out.union(joined(home(a), visits(b, levels["a"])))
+    return out.distinct()
 
 
 def _orient(ax, ay, bx, by, cx, cy):
@@ -106,7 +187,7 @@ MAX_SPLITS = 12
 
 
 def _edge_cells(e: DataFrame, g: float, hot_limit: int, max_splits: int) -> DataFrame:
-    """(code, s, L, cx, cy): each edge in every grid cell its box covers.
+    """(code, s, L, cx, cy): each edge in every grid cell it passes through.
 
     A cell holding more than ``hot_limit`` edges is split into its four
     children, and its edges move to the children their box covers, until
@@ -115,16 +196,9 @@ def _edge_cells(e: DataFrame, g: float, hot_limit: int, max_splits: int) -> Data
     level reached there, so the equi-join on (L, cx, cy) stays exact
     while no cell's pair count grows with a concentration of edges.
     """
-    s = F.struct("x1", "y1", "x2", "y2").alias("s")
     lo_x, hi_x = F.least("s.x1", "s.x2"), F.greatest("s.x1", "s.x2")
     lo_y, hi_y = F.least("s.y1", "s.y2"), F.greatest("s.y1", "s.y2")
-    ec = (e.select("code", s, F.lit(0).alias("L"))
-          .select("code", "s", "L",
-                  F.explode(F.sequence(F.floor(lo_x / g).cast("bigint"), F.floor(hi_x / g).cast("bigint")))
-                  .alias("cx"))
-          .select("code", "s", "L", "cx",
-                  F.explode(F.sequence(F.floor(lo_y / g).cast("bigint"), F.floor(hi_y / g).cast("bigint")))
-                  .alias("cy")))
+    ec = edge_cells(e, g).select("code", "s", F.lit(0).alias("L"), "cx", "cy")
     for _ in range(max_splits):
         hot = materialize(ec.groupBy("L", "cx", "cy").count().filter(F.col("count") > hot_limit).drop("count"))
         if hot.limit(1).count() == 0:
@@ -157,31 +231,13 @@ def neighbour_pairs(areas: DataFrame, cell: float | None = None,
                 .filter(_segments_meet("a.s", "b.s"))
                 .select(F.col("a.code").alias("code"), F.col("b.code").alias("nb")).distinct())
 
-    # containment without edge contact: one vertex per part against the
-    # other area's rings. Candidates come from a second grid sized by the mean
-    # bounding-box side, so a box covers a few cells however detailed the
-    # boundary's edges are.
-    verts = F.flatten(F.flatten("parts"))
-    boxes = areas.select("code",
-                         F.array_min(F.transform(verts, lambda v: v["x"])).alias("minx"),
-                         F.array_min(F.transform(verts, lambda v: v["y"])).alias("miny"),
-                         F.array_max(F.transform(verts, lambda v: v["x"])).alias("maxx"),
-                         F.array_max(F.transform(verts, lambda v: v["y"])).alias("maxy"))
-    side = boxes.agg(F.avg(F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")))).first()[0]
-    g = max(g, float(side or 0.0))
-    reps = areas.select("code", F.explode(F.expr("transform(parts, p -> p[0][0])")).alias("v")) \
-        .select(F.col("code").alias("pcode"), F.col("v.x").alias("px"), F.col("v.y").alias("py"),
-                F.floor(F.col("v.x") / g).cast("bigint").alias("cx"),
-                F.floor(F.col("v.y") / g).cast("bigint").alias("cy"))
-    bx, by = _cells(F.col("minx"), F.col("miny"), F.col("maxx"), F.col("maxy"), g)
-    bcells = boxes.select("code", "minx", "miny", "maxx", "maxy", bx.alias("cx")) \
-        .select("code", "minx", "miny", "maxx", "maxy", "cx",
-                F.explode(F.sequence(F.floor(F.col("miny") / g).cast("bigint"),
-                                     F.floor(F.col("maxy") / g).cast("bigint"))).alias("cy"))
-    inside = (reps.join(bcells, ["cx", "cy"])
-              .filter((F.col("code") != F.col("pcode"))
-                      & F.col("px").between(F.col("minx"), F.col("maxx"))
-                      & F.col("py").between(F.col("miny"), F.col("maxy")))
+    # containment without edge contact: one vertex per part, a box without
+    # extent, against the other area's rings
+    reps = areas.select("code", F.posexplode(F.expr("transform(parts, p -> p[0][0])")).alias("k", "v")).select(
+        F.concat_ws("\x1f", "code", F.col("k").cast("string")).alias("id"), F.col("code").alias("pcode"), F.col("v.x").alias("px"), F.col("v.y").alias("py"))
+    points = reps.select(F.col("id").alias("code"), F.col("px").alias("minx"), F.col("py").alias("miny"), F.col("px").alias("maxx"), F.col("py").alias("maxy"))
+    near = meeting_boxes(points, boxes(areas)).select(F.col("code").alias("id"), F.col("other").alias("code"))
+    inside = (near.join(reps, "id").filter(F.col("code") != F.col("pcode"))
               .join(areas.select("code", "parts"), "code")  # geometry only for pairs whose boxes allow it
               .filter(F.expr(POINT_IN_POLYGON))
               .select(F.least("code", "pcode").alias("code"), F.greatest("code", "pcode").alias("nb")))
@@ -191,6 +247,34 @@ def neighbour_pairs(areas: DataFrame, cell: float | None = None,
     return both.unionByName(selfs).distinct()
 
 
+def boundary_digests(areas: DataFrame) -> DataFrame:
+    """(code, digest, minx, miny, maxx, maxy): what the stored pairs were joined for."""
+    return areas.select("code", F.sha2(F.to_json("parts"), 256).alias("digest")).join(boxes(areas), "code")
+
+
+def update_pairs(areas: DataFrame, stored_areas: DataFrame, stored_pairs: DataFrame) -> DataFrame:
+    """J5 kept up to date: the pairs of ``areas``, from those of an earlier set.
+
+    ``stored_areas`` is :func:`boundary_digests` of the areas that
+    ``stored_pairs`` (code, nb) hold. Areas whose digest is another, or that are
+    new, are joined again with the areas whose boxes they meet; pairs of areas
+    that are gone or changed go; all others stay as they are stored.
+    """
+    now = materialize(boundary_digests(areas))
+    old = stored_areas.select("code", F.col("digest").alias("old"))
+    changed = materialize(now.join(old, "code", "left").where(~F.col("digest").eqNullSafe(F.col("old"))).select("code"))
+    gone = old.join(now, "code", "left_anti").select("code").union(changed)
+    kept = stored_pairs.join(gone, "code", "left_anti").join(gone.withColumnRenamed("code", "nb"), "nb", "left_anti").select("code", "nb")
+    if not changed.limit(1).count():
+        return kept
+    box = now.drop("digest")
+    near = meeting_boxes(box.join(changed, "code", "left_semi"), box).select(F.col("other").alias("code")).distinct()
+    redone = neighbour_pairs(materialize(areas.join(near, "code", "left_semi")))
+    one, other = changed.withColumn("_a", F.lit(True)), changed.select(F.col("code").alias("nb"), F.lit(True).alias("_b"))
+    redone = redone.join(one, "code", "left").join(other, "nb", "left").where("_a or _b").select("code", "nb")
+    return kept.union(redone)
+
+
 def high_flag(value: str, threshold: float) -> F.Column:
     """Value >= threshold; a missing value is False (never NaN)."""
     v = F.col(value)

@@ -68,3 +68,11 @@ def map_to_area(grouped: DataFrame, mapper: DataFrame, area_type: str,
             .agg(F.coalesce(F.sum(F.when(F.col("_sel"), F.col("total_items"))), F.lit(0))
                  .cast("bigint").alias("total_items"),
                  F.sum("total_items").alias("grand_total")))
+
+
+def area_totals(grouped: DataFrame, mapper: DataFrame, area_type: str, medicines: DataFrame) -> DataFrame:
+    """(area_type, area, year, total_items, grand_total) for any area type;
+    practices or postcodes without an area come under null."""
+    m = map_to_area(grouped, mapper, area_type, medicines)
+    g = m.groupBy(F.col(area_type).alias("area"), "year").agg(F.sum("total_items").alias("total_items"), F.sum("grand_total").alias("grand_total"))
+    return g.select(F.lit(area_type).alias("area_type"), "area", "year", "total_items", "grand_total")

@@ -29,6 +29,3 @@ DEFAULT_ILLNESSES = [
     ("addiction", [], ["Methadone"]),
     ("social anxiety", ["Loneliness"], ["Escitalopram", "Sertraline"]),
 ]
-
-# The five illnesses of the published loneliness index.
-LONELINESS_ILLNESSES = ["depression", "alzheimers", "blood pressure", "insomnia", "social anxiety"]

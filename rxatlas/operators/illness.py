@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +85,16 @@ def save_spec_yaml(spec: list[IllnessSpec], path: str) -> None:
         yaml.safe_dump(doc, fh, sort_keys=False, allow_unicode=True)
 
 
+def save_dimension(dim: DataFrame, path: str) -> None:
+    """K7 as data: the nested dimension, one JSON row an illness, on any file system."""
+    dim.select("illness", "tags", "medications").repartitionByRange(1, "illness").write.mode("overwrite").json(path)
+
+
+def load_dimension(spark: SparkSession, path: str) -> DataFrame:
+    """S11 as data: the dimension that :func:`save_dimension` wrote."""
+    return spark.read.schema(ILLNESS_DIM).json(path)
+
+
 def read_flat_csv(spark: SparkSession, path: str, trim: bool = True) -> DataFrame:
     """Headerless ``illness,drug`` CSV (BOM stripped by the reader)."""
     df = spark.read.schema("illness string, drug string").option("header", False).csv(path)
@@ -179,6 +190,61 @@ def illness_item_columns(spec: list[IllnessSpec], description: str = "BNF_DESCRI
     return out
 
 
+#: Names from which one pass with an automaton beats a substring test a name.
+MANY_NAMES = 64
+
+
+def matched_illnesses(text: Column, spec: list[IllnessSpec]) -> Column:
+    """P9 over any number of names: array<int> of the illnesses (by number in
+    ``spec``) one of whose names ``text`` (lower case) holds.
+
+    All names are one Aho-Corasick automaton, so a text is read once however many
+    names there are. It is built on the driver from the spec, which is
+    configuration, and goes to each worker once with the function; a batch's
+    repeated texts are matched once.
+    """
+    import ahocorasick
+    names: dict[str, set[int]] = {}
+    for k, s in enumerate(spec):
+        for m in s.medications:
+            names.setdefault(m.lower(), set()).add(k)
+    always = sorted(names.pop("", set()))  # every text holds the empty name
+    automaton = ahocorasick.Automaton()
+    for m, ks in names.items():
+        automaton.add_word(m, tuple(sorted(ks)))
+    automaton.make_automaton()
+
+    def one(t) -> list[int] | None:
+        if t is None:
+            return None
+        found = set(always)
+        if names:
+            for _, ks in automaton.iter(t):
+                found.update(ks)
+        return sorted(found)
+
+    @F.pandas_udf("array<int>")
+    def match(texts: pd.Series) -> pd.Series:
+        code, unique = pd.factorize(texts)
+        hits = [one(t) for t in unique]
+        return pd.Series([hits[c] if c >= 0 else None for c in code], dtype=object)
+
+    return match(text)
+
+
+def flag_items_automaton(epd: DataFrame, spec: list[IllnessSpec], description: str = "BNF_DESCRIPTION",
+                         items: str = "ITEMS") -> DataFrame:
+    """P9 (regex mode) like :func:`illness_item_columns`, for long lists of
+    names: ``epd`` with a column of items per illness. Illnesses with a name
+    beyond ASCII keep the regex, whose case folding is its own."""
+    plain = [s for s in spec if all(m.isascii() for m in s.medications)]
+    d, it, none = F.col(description), F.col(items), F.lit(0).cast("bigint")
+    number = {s.illness: k for k, s in enumerate(plain)}
+    rows = epd.withColumn("_matched", matched_illnesses(F.lower(d), plain))
+    hit = lambda s: F.array_contains("_matched", number[s.illness]) if s.illness in number else d.rlike("(?i)" + s.pattern())
+    return rows.select(*epd.columns, *[F.when(hit(s), it).otherwise(none).alias(s.column) for s in spec])
+
+
 def flag_items_exact(epd: DataFrame, dim: DataFrame, spec: list[IllnessSpec],
                      medication: str = "CHEMICAL_SUBSTANCE_BNF_DESCR",
                      items: str = "ITEMS") -> DataFrame:

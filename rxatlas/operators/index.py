@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rxatlas.functions.text import month_text, normalise_postcode, year_text
-from rxatlas.operators.illness import IllnessSpec, illness_item_columns
+from rxatlas.operators.illness import MANY_NAMES, IllnessSpec, flag_items_automaton, illness_item_columns
 from rxatlas.operators.quantiles import exact_percentiles
 from rxatlas.session import materialize
 
@@ -39,11 +39,14 @@ def zscore(c: str) -> str:
 
 
 def flag_items(epd: DataFrame, spec: list[IllnessSpec]) -> DataFrame:
-    """P9 + P2/P5/D7: per-row illness items with practice keys."""
-    return epd.select(
-        "PRACTICE_CODE", normalise_postcode("POSTCODE").alias("POSTCODE"),
-        year_text("YEAR_MONTH").alias("YEAR"), month_text("YEAR_MONTH").alias("MONTH"),
-        *illness_item_columns(spec), "ITEMS")
+    """P9 + P2/P5/D7: per-row illness items with practice keys. Long lists of
+    names are matched in one pass by an automaton."""
+    keys = [F.col("PRACTICE_CODE"), normalise_postcode("POSTCODE").alias("POSTCODE"),
+            year_text("YEAR_MONTH").alias("YEAR"), month_text("YEAR_MONTH").alias("MONTH")]
+    if sum(len(s.medications) for s in spec) > MANY_NAMES:
+        return flag_items_automaton(epd.select(*keys, "BNF_DESCRIPTION", "ITEMS"), spec).select(
+            "PRACTICE_CODE", "POSTCODE", "YEAR", "MONTH", *[s.column for s in spec], "ITEMS")
+    return epd.select(*keys, *illness_item_columns(spec), "ITEMS")
 
 
 def practice_month_counts(flagged: DataFrame, spec: list[IllnessSpec]) -> DataFrame:

@@ -34,6 +34,8 @@ SETTLED = 8
 MAX_TARGETS_PER_BLOCK = 50_000
 #: Distances held at once by a task of ``idw_all``.
 MAX_DISTANCES = 4_000_000
+#: Groups (years) whose sums a task holds.
+MAX_HELD_GROUPS = 64
 
 
 def fold_points(sources: DataFrame, part_cols: list[str], value: str) -> DataFrame:
@@ -194,8 +196,8 @@ def idw_all(targets: DataFrame, points: DataFrame, part_cols: list[str],
 
     Areas are shipped to the tasks in blocks of at most ``block`` (their
     count is checked; areas are a bounded administrative set); each task
-    reduces its batch of locations to partial sums per (partition, area),
-    and a groupBy adds the partials. Output: part_cols, code, value.
+    reduces its locations to partial sums per (partition, area), and a groupBy
+    adds the partials. Output: part_cols, code, value.
     """
     spark = points.sparkSession
     n_t = targets.count()
@@ -210,15 +212,23 @@ def idw_all(targets: DataFrame, points: DataFrame, part_cols: list[str],
 
         def partial(batches, _bc=bc, _pc=tuple(part_cols)):
             codes, tx, ty = _bc.value
+            sums: dict[tuple, np.ndarray] = {}
+
+            def rows():
+                for key, x in sums.items():
+                    out = pd.DataFrame({"code": codes, "num": x[0], "den": x[1], "hz": x[2], "hn": x[3]})
+                    for c, v in zip(_pc, key):
+                        out[c] = v
+                    yield out[[*_pc, "code", "num", "den", "hz", "hn"]]
+
             for pdf in batches:
                 if pdf.empty:
                     continue
                 for key, g in pdf.groupby(list(_pc), sort=False):
-                    key = key if isinstance(key, tuple) else (key,)
-                    sums = np.zeros((4, len(tx)))
-                    rows = max(1, MAX_DISTANCES // max(1, len(tx)))
-                    for at in range(0, len(g), rows):
-                        part = g.iloc[at:at + rows]
+                    own = sums.setdefault(key if isinstance(key, tuple) else (key,), np.zeros((4, len(tx))))
+                    step = max(1, MAX_DISTANCES // max(1, len(tx)))
+                    for at in range(0, len(g), step):
+                        part = g.iloc[at:at + step]
                         d = np.hypot(part["x"].to_numpy()[:, None] - tx[None, :],
                                      part["y"].to_numpy()[:, None] - ty[None, :])
                         n = part["n"].to_numpy(float)[:, None]
@@ -227,11 +237,11 @@ def idw_all(targets: DataFrame, points: DataFrame, part_cols: list[str],
                         with np.errstate(divide="ignore", invalid="ignore"):
                             inv = np.where(zero, 0.0, 1.0 / d)
                         for i, x in enumerate((sz * inv, n * inv, np.where(zero, sz, 0.0), np.where(zero, n, 0.0))):
-                            sums[i] += x.sum(0)
-                    out = pd.DataFrame({"code": codes, "num": sums[0], "den": sums[1], "hz": sums[2], "hn": sums[3]})
-                    for c, v in zip(_pc, key):
-                        out[c] = v
-                    yield out[[*_pc, "code", "num", "den", "hz", "hn"]]
+                            own[i] += x.sum(0)
+                if len(sums) > MAX_HELD_GROUPS:
+                    yield from rows()
+                    sums = {}
+            yield from rows()
 
         outs.append(points.select(*part_cols, "x", "y", "n", "sz").mapInPandas(partial, schema))
     parts = outs[0]
@@ -244,6 +254,35 @@ def idw_all(targets: DataFrame, points: DataFrame, part_cols: list[str],
                     F.when(hit, at_hit).otherwise(F.try_divide("num", "den")).alias("value"))
 
 
+def all_distances(targets: DataFrame, points: DataFrame, key: str, block: int = MAX_TARGETS_PER_BLOCK) -> DataFrame:
+    """J4 whole: (code, ``key``, distance) of every area and every point (x, y).
+
+    The result has a row for each pair, as asked; the areas, a bounded
+    administrative set, go to the tasks in blocks of at most ``block`` and the
+    points stay where they are. For neighbours only, see :func:`limit_points`.
+    """
+    spark, outs = points.sparkSession, []
+    kind = dict(points.dtypes)[key]
+    for start in range(0, max(targets.count(), 1), block):
+        tb = targets.select("code", "tx", "ty").orderBy("code").offset(start).limit(block).toPandas()
+        bc = spark.sparkContext.broadcast((tb["code"].to_numpy(), tb["tx"].to_numpy(float), tb["ty"].to_numpy(float)))
+
+        def measure(batches, _bc=bc):
+            codes, tx, ty = _bc.value
+            step = max(1, MAX_DISTANCES // max(1, len(tx)))
+            for pdf in batches:
+                for at in range(0, len(pdf), step):
+                    part = pdf.iloc[at:at + step]
+                    d = np.hypot(part["x"].to_numpy(float)[:, None] - tx[None, :], part["y"].to_numpy(float)[:, None] - ty[None, :])
+                    yield pd.DataFrame({"code": np.tile(codes, len(part)), key: np.repeat(part[key].to_numpy(), len(tx)), "distance": d.ravel()})
+
+        outs.append(points.select(key, "x", "y").mapInPandas(measure, f"code string, `{key}` {kind}, distance double"))
+    out = outs[0]
+    for o in outs[1:]:
+        out = out.union(o)
+    return out
+
+
 def interpolate(targets: DataFrame, sources: DataFrame, part_cols: list[str], value: str,
                 k: int | None = None, distance_limit: float | None = None,
                 exact_hit: str = "null") -> DataFrame:

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rxatlas.operators.illness import check_broadcastable
 from rxatlas.operators.quantiles import exact_percentiles
 
 MISSING_LABEL = "Missing values"
@@ -32,7 +33,7 @@ def histogram(df: DataFrame, group_cols: list[str], value: str, bins: int = 50)
     idx = F.least(F.floor((v - F.col("_lo")) * F.lit(bins) / (F.col("_hi") - F.col("_lo"))),
                   F.lit(bins - 1)).cast("int")
     counts = (df.filter(v.isNotNull() & ~F.isnan(v))
-              .join(F.broadcast(st.select(*group_cols, "_lo", "_hi")), group_cols)  # one row per group
+              .join(check_broadcastable(st.select(*group_cols, "_lo", "_hi")), group_cols)  # one row per group
               .groupBy(*group_cols, idx.alias("bin")).agg(F.count("*").alias("count")))
     spine = st.select(*group_cols, "_lo", "_hi", "_n",
                       F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
@@ -60,16 +61,17 @@ def normal_curve(df: DataFrame, group_cols: list[str], value: str, bins: int = 5
 
 
 def quantile_classes(df: DataFrame, group_cols: list[str], key: str, value: str,
-                     k: int = 5) -> DataFrame:
+                     k: int = 5, small_groups: bool = False) -> DataFrame:
     """P20: quantile class (1..k) of each row's value within its group, the
     class being the first break >= value; missing values get their own
-    label. Breaks are exact percentiles at 1/k, 2/k, ..., 1."""
+    label. Breaks are exact percentiles at 1/k, 2/k, ..., 1. ``small_groups``
+    declares that groups are few (years), as in :func:`exact_percentiles`."""
     probs = [(i + 1) / k for i in range(k)]
-    br = exact_percentiles(df, group_cols, value, probs, small_groups=True)
+    br = exact_percentiles(df, group_cols, value, probs, small_groups=small_groups)
     breaks = br.groupBy(*group_cols).agg(
         F.array_sort(F.collect_list(F.struct("p", F.col(value).alias("b")))).alias("_br"))
     v = F.col(value)
-    j = df.select(*group_cols, key, value).join(F.broadcast(breaks), group_cols, "left")  # one row per group
+    j = df.select(*group_cols, key, value).join(check_broadcastable(breaks), group_cols, "left")  # one row per group
     cls = (F.size(F.filter("_br", lambda s: s["b"] < v)) + 1).cast("int")
     missing = v.isNull() | F.isnan(v)
     return j.select(*group_cols, key, value,

@@ -1,4 +1,5 @@
-"""A5: exact percentiles with linear interpolation, without gathering a group.
+"""A5: exact percentiles with linear interpolation, without gathering a group;
+opt-in approximate ones from stored sketches.
 
 Spark's ``percentile`` aggregate holds every value of a group in one task.
 Here a group may hold a third of all rows, so the exact value is found in
@@ -93,10 +94,27 @@ def _fallback(base: DataFrame, failed: DataFrame, group_cols, value) -> DataFram
     return picks.select(*group_cols, F.col("_p").alias("p"), interp.alias(value))
 
 
-def percentiles_wide(df: DataFrame, group_cols: list[str], value: str, probs: list[float],
-                     names: list[str], **kw) -> DataFrame:
-    """Same as :func:`exact_percentiles`, one column per probability."""
-    long = exact_percentiles(df, group_cols, value, probs, **kw)
-    return long.groupBy(*group_cols).agg(*[
-        F.max(F.when(F.col("p") == F.lit(float(p)), F.col(value))).alias(n)
-        for p, n in zip(probs, names)])
+# ---- opt-in approximation from stored sketches ------------------------------------
+
+#: Size parameter of a sketch, and the rank error it keeps to (99 % of the time a third of it).
+SKETCH_K, SKETCH_RANK_ERROR = 2000, 0.01
+
+
+def sketch_values(df: DataFrame, group_cols: list[str], value: str, k: int = SKETCH_K) -> DataFrame:
+    """(group_cols..., n, sketch): a mergeable quantile sketch of each group's
+    values, nulls and NaN left out. A sketch takes some ten kilobytes, however
+    many values it stands for, so a month's can be stored with the month."""
+    v = df.select(*group_cols, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    return v.groupBy(*group_cols).agg(F.count("*").alias("n"), F.kll_sketch_agg_double("_v", k).alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, group_cols: list[str], k: int = SKETCH_K) -> DataFrame:
+    """(group_cols..., n, sketch): stored sketches put together, no value read again."""
+    return sketches.groupBy(*group_cols).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", k).alias("sketch"))
+
+
+def sketch_percentiles(sketches: DataFrame, group_cols: list[str], probs: list[float]) -> DataFrame:
+    """(group_cols..., p, value) off sketches: a value whose rank is within
+    SKETCH_RANK_ERROR of p. For the exact figure see :func:`exact_percentiles`."""
+    at = [F.struct(F.lit(float(p)).alias("p"), F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))).alias("value")) for p in probs]
+    return sketches.select(*group_cols, F.explode(F.array(*at)).alias("r")).select(*group_cols, "r.p", "r.value")

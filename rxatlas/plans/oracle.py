@@ -7,8 +7,6 @@ to 6 digits (3 for projected metres), as on the Spark side.
 
 from __future__ import annotations
 
-from rxatlas.functions.geo import bng_steps
-
 ORACLE: dict[str, str] = {}
 
 ILL = ["depression", "alzheimers", "blood_pressure", "insomnia", "social_anxiety",
@@ -344,22 +342,41 @@ FROM grouped g LEFT JOIN m USING (practice_code) GROUP BY 1, 2, 3, 4"""
 # ---- geometry ---------------------------------------------------------------------------
 
 
-def _bng_chain(src: str) -> str:
-    sql, have = f"SELECT * FROM {src}", set()
-    for name, expr in bng_steps("lat", "long"):
-        if name in have:
-            sql = f"SELECT * REPLACE ({expr} AS {name}) FROM ({sql})"
-        else:
-            sql = f"SELECT *, {expr} AS {name} FROM ({sql})"
-            have.add(name)
-    return sql
+def bng_sql(src: str) -> str:
+    """The published steps written out once more: ``src`` (lat, long) with bng_x, bng_y."""
+    return f"""SELECT * FROM (
+  WITH c AS (SELECT 6378137.0::DOUBLE AS a1, 6356752.314245::DOUBLE AS b1, 6377563.396::DOUBLE AS a2, 6356256.909::DOUBLE AS b2,
+      0.9996012717::DOUBLE AS f0, radians(49.0::DOUBLE) AS p0, radians(-2.0::DOUBLE) AS l0, 1.0::DOUBLE + 20.4894::DOUBLE / 1000000 AS sc,
+      radians(-0.1502::DOUBLE / 3600) AS rx, radians(-0.2470::DOUBLE / 3600) AS ry, radians(-0.8421::DOUBLE / 3600) AS rz),
+  k AS (SELECT *, (a1 * a1 - b1 * b1) / (a1 * a1) AS e1, (a2 * a2 - b2 * b2) / (a2 * a2) AS e2, (a2 - b2) / (a2 + b2) AS n FROM c),
+  g AS (SELECT s.*, k.*, radians(s.lat) AS p, radians(s.long) AS l FROM {src} s, k),
+  w AS (SELECT *, a1 / sqrt(1 - e1 * sin(p) ** 2) AS v FROM g),
+  x AS (SELECT *, v * cos(p) * cos(l) AS cx, v * cos(p) * sin(l) AS cy, v * (1 - e1) * sin(p) AS cz FROM w),
+  h AS (SELECT *, sc * cx - rz * cy + ry * cz - 446.448 AS hx, rz * cx + sc * cy - rx * cz + 125.157 AS hy,
+      sc * cz + rx * cy - ry * cx - 542.060 AS hz FROM x),
+  q0 AS (SELECT *, sqrt(hx * hx + hy * hy) AS d, atan2(hy, hx) - l0 AS dl, atan2(hz, sqrt(hx * hx + hy * hy) * (1 - e2)) AS f0th FROM h),
+  q1 AS (SELECT *, atan2(hz + e2 * a2 / sqrt(1 - e2 * sin(f0th) ** 2) * sin(f0th), d) AS f1st FROM q0),
+  q2 AS (SELECT *, atan2(hz + e2 * a2 / sqrt(1 - e2 * sin(f1st) ** 2) * sin(f1st), d) AS f2nd FROM q1),
+  q3 AS (SELECT *, atan2(hz + e2 * a2 / sqrt(1 - e2 * sin(f2nd) ** 2) * sin(f2nd), d) AS f3rd FROM q2),
+  q4 AS (SELECT *, atan2(hz + e2 * a2 / sqrt(1 - e2 * sin(f3rd) ** 2) * sin(f3rd), d) AS f FROM q3),
+  r AS (SELECT *, a2 * f0 / sqrt(1 - e2 * sin(f) ** 2) AS nu, a2 * f0 * (1 - e2) * (1 - e2 * sin(f) ** 2) ** (-1.5) AS rho,
+      b2 * f0 * ((1 + n + 5 * n ** 2 / 4 + 5 * n ** 3 / 4) * (f - p0) - (3 * n + 3 * n ** 2 + 21 * n ** 3 / 8) * sin(f - p0) * cos(f + p0)
+        + (15 * n ** 2 / 8 + 15 * n ** 3 / 8) * sin(2 * (f - p0)) * cos(2 * (f + p0)) - 35 * n ** 3 / 24 * sin(3 * (f - p0)) * cos(3 * (f + p0))) AS m
+      FROM q4),
+  u AS (SELECT *, nu / rho - 1 AS eta, tan(f) ** 2 AS t2 FROM r)
+  SELECT * EXCLUDE (a1, b1, a2, b2, f0, p0, l0, sc, rx, ry, rz, e1, e2, n, p, l, v, cx, cy, cz, hx, hy, hz, d, f0th, f1st, f2nd, f3rd),
+    400000 + nu * cos(f) * dl + nu / 6 * cos(f) ** 3 * (nu / rho - t2) * dl ** 3
+      + nu / 120 * cos(f) ** 5 * (5 - 18 * t2 + t2 ** 2 + 14 * eta - 58 * t2 * eta) * dl ** 5 AS bng_x,
+    m - 100000 + nu / 2 * sin(f) * cos(f) * dl ** 2 + nu / 24 * sin(f) * cos(f) ** 3 * (5 - t2 + 9 * eta) * dl ** 4
+      + nu / 720 * sin(f) * cos(f) ** 5 * (61 - 58 * t2 + t2 ** 2) * dl ** 6 AS bng_y
+  FROM u)"""
 
 
 ORACLE["practice_points"] = with_(EPD, NSPL, NSPL_E) + f""", pts AS (
   SELECT DISTINCT e.PRACTICE_CODE, upper(regexp_replace(e.POSTCODE, '\\s+', '', 'g')) AS POSTCODE FROM epd e),
 j AS (SELECT p.PRACTICE_CODE, p.POSTCODE, n.lat, n.long FROM pts p JOIN nspl_e n USING (POSTCODE)
       WHERE n.lat IS NOT NULL AND n.long IS NOT NULL AND isfinite(n.lat) AND isfinite(n.long))
-SELECT PRACTICE_CODE, POSTCODE, round(bng_x, 3) AS x, round(bng_y, 3) AS y FROM ({_bng_chain("j")})"""
+SELECT PRACTICE_CODE, POSTCODE, round(bng_x, 3) AS x, round(bng_y, 3) AS y FROM ({bng_sql("j")})"""
 
 ORACLE["area_centroids"] = with_(AREAS) + """SELECT code, round(tx, 6) AS cx, round(ty, 6) AS cy,
   round(400000000.0, 6) AS area FROM targets"""
@@ -391,7 +408,7 @@ ORACLE["area_interpolated"] = with_(*GEO, INTERP, NEIGH, LISA) + \
     f"SELECT YEAR, code, {r6('loneliness', 'loneliness')}, {r6('LISA_score', 'LISA_score')}, LISA_support FROM result"
 _XY_GEO = f"""placed AS (SELECT DISTINCT p.PRACTICE_CODE, n.lat, n.long FROM pidx p JOIN nspl_e n USING (POSTCODE)
   WHERE isfinite(n.lat) AND isfinite(n.long)),
-xy AS (SELECT PRACTICE_CODE, bng_x AS x, bng_y AS y FROM ({_bng_chain("placed")}))"""
+xy AS (SELECT PRACTICE_CODE, bng_x AS x, bng_y AS y FROM ({bng_sql("placed")}))"""
 ORACLE["area_interpolated_geo"] = with_(*index_ctes(), NSPL, NSPL_E, _XY_GEO, AREAS, YEARS, SPINE, SOURCES, PAIRS,
                                         INTERP, NEIGH, LISA) + \
     f"SELECT YEAR, code, {r6('loneliness', 'loneliness')}, {r6('LISA_score', 'LISA_score')}, LISA_support FROM result"
@@ -466,7 +483,7 @@ ORACLE["manifest_reconcile"] = with_(EPD, CAT) + """, j AS (
   SELECT w.name, c.url AS c_url, c.zip_url AS c_zip, d.url AS m_url, d.zip_url AS m_zip, d.has_date, d.flag,
          a.name IS NOT NULL AS archive
   FROM (SELECT DISTINCT name FROM wanted) w LEFT JOIN cat c USING (name) LEFT JOIN dl d USING (name)
-  LEFT JOIN (SELECT name FROM cat) a USING (name)),
+  LEFT JOIN (SELECT name FROM cat WHERE m <> 4) a USING (name)),
 k AS (SELECT *, c_url IS NOT NULL AS found,
              c_url IS NOT NULL AND m_url IS NULL AS is_new,
              c_url IS NOT NULL AND m_url IS NOT NULL AND m_url <> c_url AS changed FROM j),
@@ -478,12 +495,14 @@ SELECT name, found, CASE WHEN found THEN (CASE WHEN is_new OR changed THEN c_url
   CASE WHEN NOT found THEN 'not_found' WHEN is_new THEN 'new' WHEN changed THEN 'url_changed'
        WHEN NOT hd THEN 'no_download_date' WHEN flag0 THEN 'flagged' WHEN NOT archive THEN 'no_archive' END AS reason
 FROM k2"""
-ORACLE["manifest_ready"] = with_(EPD, CAT) + """, ok AS (SELECT name FROM dl WHERE has_date AND NOT flag)
+ORACLE["manifest_ready"] = with_(EPD, CAT) + """, ok AS (SELECT name FROM dl JOIN cat USING (name) WHERE has_date AND NOT flag AND m <> 4)
 SELECT g.name, ok.name IS NOT NULL AS download_valid,
   CASE WHEN ok.name IS NOT NULL THEN 'ready' ELSE 'missing_download' END AS status
 FROM grp g LEFT JOIN ok USING (name)"""
-ORACLE["manifest_pending"] = with_(EPD, CAT) + "SELECT name FROM cat WHERE name NOT IN (SELECT name FROM grp)"
+ORACLE["manifest_pending"] = with_(EPD, CAT) + "SELECT name FROM cat WHERE name NOT IN (SELECT name FROM grp WHERE m <> 8)"
 ORACLE["manifest_latest"] = with_(EPD, CAT) + """SELECT name, CASE WHEN m % 3 = 2 THEN url || '?v2' ELSE url END AS url,
   CASE WHEN m % 3 = 2 THEN 2 ELSE 1 END AS event_no FROM cat"""
 ORACLE["lookup_staleness"] = with_(EPD, CAT) + """SELECT name, make_date(y, m, 1) AS as_of,
   make_date(y, m, 1) + INTERVAL 6 MONTH < DATE '2041-06-15' AS stale FROM cat"""
+
+from rxatlas.plans import oracle_storage  # noqa: E402,F401  (adds its texts here)

@@ -27,7 +27,6 @@ from rxatlas.operators import manifest as mf
 from rxatlas.operators import qa
 from rxatlas.plans import jobs
 from rxatlas.session import materialize, scratch_path
-from rxatlas.sources import epd as src_epd
 from rxatlas.sources import fixtures as fx
 from rxatlas.sources import lookups as lk
 
@@ -160,17 +159,6 @@ def _area_mean(spark, sf):
 
 # ---- scan / shape ---------------------------------------------------------------
 
-@query("scan_epd_typed")
-def q_scan_epd_typed(spark, sf):
-    """The all-text month typed by the reader's casts."""
-    return rounded(src_epd.type_epd(fx.epd_raw(spark, sf)))
-
-
-@query("epd_year_slice")
-def q_epd_year_slice(spark, sf):
-    return src_epd.slice_summary(_epd(spark, sf))
-
-
 @query("postcode_norm")
 def q_postcode_norm(spark, sf):
     p = _epd(spark, sf).select("POSTCODE").distinct()
@@ -188,21 +176,6 @@ def q_year_month_parts(spark, sf):
                      dataset_name(year_part("YEAR_MONTH"), month_part("YEAR_MONTH")).alias("name"))
 
 
-@query("nspl_england")
-def q_nspl_england(spark, sf):
-    return rounded(_nspl_e(spark, sf))
-
-
-@query("nspl_select")
-def q_nspl_select(spark, sf):
-    return rounded(lk.nspl_select(fx.nspl_raw(spark, sf)))
-
-
-@query("ods_select")
-def q_ods_select(spark, sf):
-    return lk.ods_select(fx.ods_raw(spark, sf))
-
-
 @query("england_areas")
 def q_england_areas(spark, sf):
     a = _areas_e(spark, sf)
@@ -312,12 +285,6 @@ def q_meds_filter_totals(spark, sf):
     return ill.medication_totals(_grouped(spark, sf), _dim(spark, sf), tag=TAG)
 
 
-@query("meds_filter_year_totals")
-def q_meds_filter_year_totals(spark, sf):
-    """S8 with its year."""
-    return ill.medication_totals(_grouped(spark, sf), _dim(spark, sf), tag=TAG, year=YEAR)
-
-
 @query("practice_index_saved")
 def q_practice_index_saved(spark, sf):
     """C2 as a job: index with geography written by year (K3), read back
@@ -552,10 +519,6 @@ def _wanted(spark, sf):
     return mf.month_spine(fx.catalogue_months(spark, sf).select(F.col("y").alias("year")))
 
 
-def _archives(spark, sf):
-    return fx.catalogue_months(spark, sf).select(F.concat(F.lit("EPD_"), "YEAR_MONTH").alias("name"))
-
-
 @query("month_spine")
 def q_month_spine(spark, sf):
     return _wanted(spark, sf)
@@ -586,24 +549,6 @@ def q_catalog_resources(spark, sf):
     return mf.parse_catalogue(fx.catalogue_documents(spark, sf))
 
 
-@query("manifest_reconcile")
-def q_manifest_reconcile(spark, sf):
-    return mf.reconcile_downloads(_wanted(spark, sf), fx.catalogue_resources(spark, sf),
-                                  fx.download_manifest(spark, sf), _archives(spark, sf))
-
-
-@query("manifest_ready")
-def q_manifest_ready(spark, sf):
-    return mf.ready_to_group(fx.group_manifest(spark, sf), fx.download_manifest(spark, sf),
-                             _archives(spark, sf))
-
-
-@query("manifest_pending")
-def q_manifest_pending(spark, sf):
-    wanted = fx.catalogue_resources(spark, sf).select("name")
-    return mf.pending_months(wanted, fx.group_manifest(spark, sf), _grouped(spark, sf))
-
-
 @query("manifest_latest")
 def q_manifest_latest(spark, sf):
     """Event log: one download event per month, a second one (new url) for
@@ -648,3 +593,6 @@ def q_single_illness_index(spark, sf):
     one = ill.spec_by_names(_spec(), [SINGLE_ILLNESS])
     return rounded(_pindex(spark, sf, one).select(
         "PRACTICE_CODE", "YEAR", "POSTCODE", idx.zscore(one[0].column), idx.INDEX_COLUMN))
+
+
+from rxatlas.plans import register_storage  # noqa: E402,F401  (registers its queries here)

@@ -47,6 +47,14 @@ GROUP_MANIFEST = T.StructType([
     T.StructField("update_required", T.BooleanType()),
 ])
 
+# T12 as a log: what a run set out to do with a month, and what it finished.
+LEDGER = T.StructType([
+    *GROUP_MANIFEST.fields,
+    T.StructField("run_id", S), T.StructField("event", S),
+    T.StructField("n_files", L), T.StructField("bytes", L),
+    T.StructField("n_groups", L), T.StructField("total", D),
+])
+
 # Remote catalogue document.
 RESOURCE = T.StructType([T.StructField(n, S) for n in ("bq_table_name", "name", "url", "zip_url")])
 CATALOGUE = T.StructType([

@@ -238,3 +238,109 @@ def group_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.make_timestamp(F.col("y"), F.col("m"), F.lit(28), F.lit(12), F.lit(0), F.lit(0))
         .alias("latest_process_date"),
         F.lit(False).alias("update_required"))
+
+
+# ---- landed files --------------------------------------------------------------
+# The same views written the way deliveries arrive, for the readers to read.
+
+#: Header layouts of landed months by month % 3: columns in another order, a
+#: further column, one layout compressed.
+FURTHER_COLUMN = "REGIONAL_OFFICE_NAME"
+
+
+def month_layout(k: int) -> tuple[list[str], str]:
+    """Column order and compression of the months with month % 3 = k."""
+    if k == 0:
+        return list(EPD_COLUMNS), "none"
+    if k == 1:
+        return [*reversed(EPD_COLUMNS), FURTHER_COLUMN], "none"
+    return [*EPD_COLUMNS[3:], *EPD_COLUMNS[:3]], "gzip"
+
+
+def land_epd(spark: SparkSession, sf_dir: str, path: str, condition: str = "true", raw: DataFrame | None = None) -> str:
+    """One CSV a month (``EPD_YYYYMM.csv``, ``.csv.gz``) with its own header
+    below ``path``, of the months that ``condition`` (over y, m) holds for."""
+    from rxatlas.sources.storage import rename_parts
+    raw = epd_raw(spark, sf_dir) if raw is None else raw
+    raw = raw.select("*", F.lit("LONDON").alias(FURTHER_COLUMN), F.col("YEAR_MONTH").alias("ym"),
+                     F.substring("YEAR_MONTH", 1, 4).cast("int").alias("y"), F.substring("YEAR_MONTH", 5, 2).cast("int").alias("m"))
+    for k in range(3):
+        order, codec = month_layout(k)
+        stage = f"{path}/_stage{k}"
+        (raw.where(condition).where(F.col("m") % 3 == k).select(*order, "ym").repartition("ym")
+         .write.partitionBy("ym").option("header", True).option("compression", codec).csv(stage))
+        end = ".csv.gz" if codec == "gzip" else ".csv"
+        rename_parts(spark, stage, path, lambda ym, n, end=end: f"EPD_{ym}{f'_{n}' if n else ''}{end}")
+    return path
+
+
+def land_archives(spark: SparkSession, names: DataFrame, path: str) -> str:
+    """A small ``<name>.zip`` below ``path`` for each of ``names`` (name)."""
+    from rxatlas.sources.storage import rename_parts
+    (names.select(F.col("name").alias("value"), "name").repartition(1).write.partitionBy("name").text(f"{path}/_stage"))
+    rename_parts(spark, f"{path}/_stage", path, lambda name, n: f"{name}.zip")
+    return path
+
+
+def land_csv(df: DataFrame, path: str, key: str) -> str:
+    """A lookup as one header CSV, sorted by its key."""
+    df.orderBy(key).coalesce(1).write.option("header", True).csv(path)
+    return path
+
+
+def irregular_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Areas that are no squares: a six-sided ring per nation, every third one
+    with a hole, every fourth one with a second part."""
+    nk = F.col("n_nationkey")
+    x0 = (nk % GRID_COLS) * AREA_SIDE + 100.0 * nk
+    y0 = F.floor(nk / GRID_COLS) * AREA_SIDE + 250.0 * (nk % 3)
+
+    def ring(*points):
+        return F.array(*[F.array((x0 + float(x)).cast("double"), (y0 + float(y)).cast("double")) for x, y in points])
+
+    outer = ring((0, 0), (9000, -500), (18000, 2000), (16500, 11000), (8000, 15000), (500, 9000), (0, 0))
+    hole = ring((5000, 4000), (9000, 4500), (7000, 8000), (5000, 4000))
+    second = ring((18500, 14000), (19500, 14500), (19000, 16000), (18500, 14000))
+    part = F.when(nk % 3 == 0, F.array(outer, hole)).otherwise(F.array(outer))
+    return table(spark, sf_dir, "nation").select(
+        "n_nationkey", _lad(nk).alias("code"),
+        F.when(nk % 4 == 0, F.array(part, F.array(second))).otherwise(F.array(part)).alias("parts"))
+
+
+def land_geojson(areas: DataFrame, path: str, code_property: str) -> str:
+    """``areas`` (n_nationkey, code, parts as nested arrays) as one feature collection in one file."""
+    single = F.size("parts") == 1
+    kind = F.when(single, F.lit("Polygon")).otherwise(F.lit("MultiPolygon"))
+    coordinates = F.when(single, F.to_json(F.col("parts")[0])).otherwise(F.to_json("parts"))
+    feature = F.concat(F.lit('{"type": "Feature", "properties": {"'), F.lit(code_property), F.lit('": "'), "code",
+                       F.lit('", "note": "a {brace} and a \\"quote\\""}, "geometry": {"type": "'), kind, F.lit('", "coordinates": '),
+                       coordinates, F.lit("}}"))
+    body = areas.agg(F.array_sort(F.collect_list(F.struct("n_nationkey", feature.alias("f")))).alias("l"))
+    text = F.concat(F.lit('{"type": "FeatureCollection", "name": "areas", "features": [\n'), F.array_join(F.col("l.f"), ",\n"), F.lit("\n]}"))
+    body.select(text.alias("value")).coalesce(1).write.text(path)
+    return path
+
+
+#: Vintages of the fixture's geographies and the years they stand for: fixed values.
+AREA_VINTAGES = [("lsoa", "2011", 2011, 2015), ("lsoa", "2021", 2016, None), ("msoa", "2011", 2011, 2014), ("msoa", "2021", 2015, None),
+                 ("lad", "2013", None, 2013), ("lad", "2015", 2015, 2016), ("ward", "2016", 2016, 2016)]
+LATE_VINTAGE = "2021"
+
+
+def mixed_areas(spark: SparkSession, sf_dir: str, changed: bool = False) -> DataFrame:
+    """T14 squares of sides from 50 m to 51 km (a supplier each) and 1000 km (a
+    region each). ``changed``: suppliers 1 and 2 moved, 3 gone, one more."""
+    def square(df, code, x0, y0, side):
+        df = df.select(code.alias("code"), x0.cast("double").alias("x0"), y0.cast("double").alias("y0"), side.cast("double").alias("s"))
+        v = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+        x0, y0, x1, y1 = F.col("x0"), F.col("y0"), F.col("x0") + F.col("s"), F.col("y0") + F.col("s")
+        return df.select("code", F.array(F.array(F.array(v(x0, y0), v(x1, y0), v(x1, y1), v(x0, y1), v(x0, y0)))).alias("parts"))
+
+    sk, rk = F.col("s_suppkey"), F.col("r_regionkey")
+    s, r = table(spark, sf_dir, "supplier").select("s_suppkey"), table(spark, sf_dir, "region").select("r_regionkey")
+    x, y = 1000.0 * ((sk * 37) % 101), 1000.0 * ((sk * 53) % 97)
+    if changed:
+        s = s.where(sk != 3).union(spark.createDataFrame([(1000003,)], "k bigint"))
+        x, y = F.when(sk.isin(1, 2), x + 3000.0).otherwise(x), F.when(sk.isin(1, 2), y + 7000.0).otherwise(y)
+    return square(s, F.concat(F.lit("A"), sk.cast("string")), x, y, 50.0 * F.pow(F.lit(2.0), sk % 11)).union(
+        square(r, F.concat(F.lit("R"), rk.cast("string")), -100000.0 + 10000.0 * rk, -100000.0 - 10000.0 * rk, F.lit(1000000.0)))

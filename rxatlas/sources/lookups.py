@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxatlas.functions.text import normalise_postcode
+from rxatlas.sources.epd import first_lines
 from rxatlas.schemas import (LOCATION_COLUMNS, POSTCODE_AREA_TYPES, POSTCODE_KEY,
                              PRACTICE_AREA_TYPES, PRACTICE_KEY)
 
@@ -118,6 +119,11 @@ def schema_contract(raws: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def first_row(df: DataFrame) -> DataFrame:
-    """The column list and one row of a new lookup file."""
-    return df.limit(1)
+def landed_columns(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """(file, position, column, first_value) of each landed CSV: its
+    header and its first row, before a mapping for it is written. Only the
+    files' first lines are read."""
+    rows = first_lines(spark, path, glob, 2)
+    names, values = F.element_at("lines", 1), F.try_element_at("lines", F.lit(2))
+    return rows.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.posexplode(names).alias("position", "column"), values.alias("v")) \
+        .select("file", "position", "column", F.get("v", F.col("position")).alias("first_value"))
