@@ -29,8 +29,10 @@ def _documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a recognised language: no letter, null text, or
-    n-grams that no learned language holds. Learns from rows with a lang."""
+    """Drops documents without a recognised language: no letter, null or empty
+    text, or n-grams that no learned language holds. Learns from rows with a
+    lang; without any, all rows go. Rows are judged one by one, null and repeated
+    ids among them."""
     d = _documents(spark, docs)
     filters = learn_languages(d.where(common.fold("doc_id", 5) != 0))
     found = identify(d, filters, "text", "lang", "source", "n_chars")
@@ -39,7 +41,10 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that score as toxic. Learns from the table of labels."""
+    """Drops documents that score as toxic. Learns from the table of labels.
+    Rows are judged one by one, null and repeated ids among them; null and empty
+    texts have nothing toxic; without labels nothing goes; an empty table stays
+    empty."""
     d = _documents(spark, docs)
     labels = common.columns(common.table(spark, sf_dir, "labels"), doc_id="long", toxic="int")
     labels = labels.where(common.fold("doc_id", 5) != 0)
@@ -50,17 +55,23 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document, that of the smallest id, of each group of near
-    duplicates (five-word shingles, similarity 0.8); of repeated rows of one
-    id, one. Rows without an id belong to no group and stay."""
+    duplicates (five-word shingles, similarity 0.8); of rows that share an id the
+    one with the smallest text (null first), then lang, source and n_chars. Rows
+    without an id belong to no group and stay; null and empty texts are near
+    nothing; an empty table stays empty."""
     d = _documents(spark, docs)
     groups = near_duplicates(d, width=5, percent=80)
     kept = groups.where("doc_id = component_id").select("doc_id")
-    stay = d.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return stay.union(d.where("doc_id is null")).select(*COLUMNS)
+    stay = d.join(kept, "doc_id", "left_semi")
+    rest = [c for c in COLUMNS if c != "doc_id"]
+    stay = stay.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("r")).select("doc_id", *[F.col("r")[c].alias(c) for c in rest])
+    return stay.union(d.where("doc_id is null").select("doc_id", *rest)).select(*COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into sequences of 4096 tokens; one row per piece."""
+    """Packs what is left into sequences of 4096 tokens; one row per piece. A
+    null or empty text is its end id alone; repeated rows are packed as often as
+    they occur; an empty table gives no piece."""
     return pack(_documents(spark, docs), vocabulary())
 
 

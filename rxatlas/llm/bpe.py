@@ -8,10 +8,16 @@ by merge, as array steps, and looks the others up.
 
 Text takes the tokenizer's route: special tokens first, then NFC, runs of white
 space, lower case, the split pattern, and bytes. Texts of Latin letters below
-U+0240 do this as array steps over bytes; for any other text the tokenizer's
-own normalizer and pre-tokenizer deliver the words, which are then cut and
-merged in the same way. Null text is empty. Texts of any length are taken in
-slices that end at white space, so memory stays bounded.
+U+0240 do this as array steps over bytes, texts of any other characters whose
+normal form is the character itself as array steps over code points. Only for
+texts that hold a special token's string, combining marks, or characters that
+change their length with their case, the tokenizer's own normalizer and
+pre-tokenizer deliver the words, which are then cut and merged in the same way.
+Null text is empty. Texts of any length are taken in slices that end at white
+space (the last kind by the library as a whole).
+
+Defined cases of the queries' functions: rows are independent, null and repeated
+ids are kept, empty tables give empty tables, further columns are left behind.
 """
 
 from __future__ import annotations
@@ -76,6 +82,8 @@ class Encoder:
         self.rank = np.array(ranks, np.int64)[order]
         self.made = np.zeros(len(keys), np.int64)
         self.made[:] = made
+        self.to_byte = {ord(c): chr(b) for c, b in self.byte_of.items()}
+        self.wide = None
         self._latin()
         self._forget()
 
@@ -104,7 +112,7 @@ class Encoder:
         ids = []
         for s, e in self._ranges(buf, at, slow):
             if s < 0:
-                own = self._encode_slow(buf[at[e]:at[e + 1]].tobytes().decode())
+                own = self._encode_any(buf[at[e]:at[e + 1]])
                 counts[e + 1] += len(own)
                 ids.append(own)
                 continue
@@ -155,6 +163,11 @@ class Encoder:
         first[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == NUMBER)
         first[wide + 1] = False
         first[inner[inner < n]] = True
+        return self._words(b, kind, first, inner)
+
+    def _words(self, b: np.ndarray, kind: np.ndarray, first: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of lower-cased bytes whose words begin at ``first``."""
+        n = len(b)
         quote = np.flatnonzero((b == 0x27) & first)
         if len(quote):
             end = inner[np.searchsorted(inner, quote, "right").clip(max=len(inner) - 1)]
@@ -274,6 +287,56 @@ class Encoder:
         order = np.argsort(owner, kind="stable")
         return ids[order], np.bincount(owner, minlength=len(size))
 
+    def _tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of every code point: its lower case, its kind, and whether the array
+        steps can't take it: it is unassigned, or may change with its neighbours
+        (normal form) or in length (lower case)."""
+        every = [chr(c) for c in range(0x110000)]
+        low, odd = np.arange(0x110000, dtype=np.int32), np.zeros(0x110000, bool)
+        text = "".join(ch for c, ch in enumerate(every) if not 0xD800 <= c < 0xE000)
+        kind = np.full(0x110000, OTHER, np.uint8)
+        for pattern, k in ((r"\s", SPACE), (r"\p{L}", LETTER), (r"\p{N}", NUMBER)):
+            kind[[ord(ch) for ch in regex.findall(pattern, text)]] = k
+        odd[0xD800:0xE000] = odd[0x1161:0x1176] = odd[0x11A8:0x11C3] = True  # vowels and finals that compose with what stands before
+        for c, ch in enumerate(every):
+            parts = unicodedata.decomposition(ch)
+            if parts and parts[0] != "<":
+                odd[[int(x, 16) for x in parts.split()[1:]]] = True  # compose with what stands before
+        for c in np.flatnonzero(~odd).tolist():
+            ch = every[c]
+            if unicodedata.category(ch) == "Cn" or unicodedata.combining(ch) or not unicodedata.is_normalized("NFC", ch):
+                odd[c] = True
+            elif (x := ch.lower()) != ch:
+                if len(x) != 1 or len(x.encode()) != len(ch.encode()):
+                    odd[c] = True
+                else:
+                    low[c] = ord(x)
+        return low, kind, odd
+
+    def _encode_any(self, raw: np.ndarray) -> np.ndarray:
+        """A text that isn't plain Latin."""
+        text = raw.tobytes().decode()
+        if self.wide is None:
+            self.wide = self._tables()
+        code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        if self.wide[2][code].any() or any(s in text for s in self.special):
+            return self._encode_slow(text)
+        out = [self._encode_wide(raw[s:e]) for s, e in tx._slices(raw, np.array([0, len(raw)]))]
+        return np.concatenate(out) if out else np.zeros(0, np.int32)
+
+    def _encode_wide(self, raw: np.ndarray) -> np.ndarray:
+        low, kinds, _ = self.wide
+        code = low[np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32)]
+        b = np.frombuffer(code.astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8)
+        n = len(b)
+        start = np.flatnonzero((raw & 0xC0) != 0x80)
+        kind = kinds[code]
+        first = np.zeros(n, bool)
+        head = np.ones(len(code), bool)
+        head[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == NUMBER)
+        first[start[head]] = True
+        return self._words(b, np.repeat(kind, np.diff(np.append(start, n))), first, np.array([0, n]))[0]
+
     def _encode_slow(self, text: str) -> np.ndarray:
         pattern = "(" + "|".join(map(regex.escape, self.special)) + ")"
         out = []
@@ -281,11 +344,10 @@ class Encoder:
             if k % 2:
                 out.append(np.array([self.special[part]]))
                 continue
-            words = [bytes(self.byte_of[c] for c in w) for w, _ in self.library.pre_tokenizer.pre_tokenize_str(
-                self.library.normalizer.normalize_str(part))] if part else []
+            words = [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part))] if part else []
             if not words:
                 continue
-            b = np.frombuffer(b"".join(words), np.uint8)
+            b = np.frombuffer("".join(words).translate(self.to_byte).encode("latin-1"), np.uint8)  # a symbol a byte
             whole = np.zeros(len(b) + 1, bool)
             whole[np.concatenate(([0], np.cumsum([len(w) for w in words])))] = True
             cut = whole.copy()

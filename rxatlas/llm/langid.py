@@ -6,11 +6,12 @@ AND, are the set of all languages that may contain it. A document's decision
 needs one popcount per language, corrected for the filter's false positives.
 
 Learning takes a bounded sample of labelled documents per language
-(``SAMPLE_DOCS``, by hash of the id); an n-gram enters a language's filter when
+(``SAMPLE_DOCS``, by hash of the id), each with its whole text; an n-gram enters a language's filter when
 at least ``MIN_DOCS`` of the sampled documents hold it and its share there is
 at least ``MIN_SHARE`` of its share in the language where it is most common.
 A language with fewer than ``MIN_DOCS`` documents keeps all its n-grams and
-takes none from others. Letters are those of the Unicode category.
+takes none from others. A filter has room for ``CAPACITY`` n-grams; of a language
+with more, those that most sampled documents hold enter. Letters are those of the Unicode category.
 Everything that is scored is scored over whole texts.
 
 Defined cases: null text or text without a letter is ``und`` with score 0; a
@@ -23,18 +24,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rxatlas.llm import text as tx
-from rxatlas.llm.common import columns, fold
+from rxatlas.llm.common import columns, fold, stored
 
 U = np.uint64
 SAMPLE_DOCS = 1000
-#: Bytes of a sampled text that are learned from; only learning is bounded.
-SAMPLE_BYTES = 8000
+#: N-grams of one language's filter, and n-grams that a task holds while counting.
+CAPACITY, HELD = 300_000, 4_000_000
 MIN_DOCS, MIN_SHARE = 2, 0.2
 SIZES = (2, 3, 4)
 TABLE_BITS = 20
@@ -173,23 +173,38 @@ def learn(docs: DataFrame) -> Filters:
     index = {x: k for k, x in enumerate(names)}
 
     def run(batches):
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # language, n-gram, documents
+        n = 0
+
+        def merged():
+            of, g, count = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((g, of))
+            of, g, count = of[order], g[order], count[order]
+            first = np.ones(len(g), bool)
+            first[1:] = (g[1:] != g[:-1]) | (of[1:] != of[:-1])
+            at = np.flatnonzero(first)
+            return of[at], g[at], np.add.reduceat(count, at)
+
+        def rows(x):
+            return pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(x[1].view(np.int64)), pa.array(x[2])], names=["lang", "gram", "docs"])
+
         for b in batches:
-            cut = pc.binary_slice(b.column("text").cast(pa.binary()), 0, SAMPLE_BYTES).to_pylist()
-            cut = pa.array([x.decode("utf-8", "ignore") for x in cut])
-            h, ptr, _ = grams(cut)
-            lang = np.array([index[x] for x in b.column("lang").to_pylist()])
-            doc = np.repeat(np.arange(len(cut)), np.diff(ptr))
-            order = np.lexsort((h, doc))
-            h, doc = h[order], doc[order]
-            once = np.ones(len(h), bool)
-            once[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-            h, doc = h[once], doc[once]
-            found = [(k, *np.unique(h[lang[doc] == k], return_counts=True)) for k in np.unique(lang)]
-            of = np.concatenate([np.full(len(g), k, np.int32) for k, g, _ in found]) if found else np.zeros(0, np.int32)
-            g = np.concatenate([g for _, g, _ in found]) if found else np.zeros(0, U)
-            count = np.concatenate([c for _, _, c in found]).astype(np.int64) if found else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(of), pa.array(g.view(np.int64)), pa.array(count)],
-                                             names=["lang", "gram", "docs"])
+            langs = b.column("lang").to_pylist()
+            for s in range(0, b.num_rows, 16):
+                h, ptr, _ = grams(b.column("text").slice(s, 16))
+                for k, x in enumerate(langs[s:s + 16]):
+                    own = np.unique(h[ptr[k]:ptr[k + 1]])  # a document counts once
+                    held.append((np.full(len(own), index[x], np.int32), own, np.ones(len(own), np.int64)))
+                    n += len(own)
+                if n > HELD:
+                    x = merged()
+                    if len(x[0]) > HELD // 2:
+                        yield rows(x)
+                        held, n = [], 0
+                    else:
+                        held, n = [x], len(x[0])
+        if n:
+            yield rows(merged())
 
     size = {r.lang: r["count"] for r in sample.groupBy("lang").count().collect()}
     counted = sample.mapInArrow(run, "lang int, gram long, docs long").groupBy("lang", "gram").agg(F.sum("docs").alias("docs"))
@@ -199,8 +214,15 @@ def learn(docs: DataFrame) -> Filters:
     share = counted.withColumn("share", F.col("docs") / F.col("size"))
     best = share.groupBy("gram").agg(F.max(F.when(F.col("size") >= least, F.col("share"))).alias("best"))
     kept = share.join(best, "gram").where(F.col("share") >= MIN_SHARE * F.coalesce("best", F.lit(0.0)))
-    # bounded by the sample: at most SAMPLE_DOCS * SAMPLE_BYTES * len(SIZES) per language
-    got = kept.select("lang", "gram").toArrow()
+    kept = stored(kept.select("lang", "gram", "docs"), "languages")
+    least_docs = dict.fromkeys(range(len(names)), 1)
+    fill = dict.fromkeys(range(len(names)), 0)
+    for r in kept.groupBy("lang", "docs").count().orderBy("lang", F.desc("docs")).collect():  # at most SAMPLE_DOCS rows a language
+        fill[r.lang] += r["count"]
+        if fill[r.lang] > CAPACITY:
+            least_docs[r.lang] = max(least_docs[r.lang], r.docs + 1)
+    room = F.broadcast(docs.sparkSession.createDataFrame(list(least_docs.items()), "lang int, least long"))
+    got = kept.join(room, "lang").where("docs >= least").select("lang", "gram").toArrow()  # at most CAPACITY a language
     lang, gram = got.column("lang").to_numpy(), got.column("gram").to_numpy().view(U)
     return Filters(names, [gram[lang == k] for k in range(len(names))])
 

@@ -1,26 +1,35 @@
 """Licence scan: a trained paragraph classifier, confirmed against templates.
 
-Units are a text's paragraphs (lines); long ones are taken in overlapping
-windows of WINDOW words, so no text is cut off. A sparse logistic regression
-over hashed word n-grams (one to three words) names a licence family or
-``unknown``. It is trained on the templates below in varied wording against a
-bounded sample of the corpus' own paragraphs (``SAMPLE_DOCS`` documents by hash
-of the id, ``SAMPLE_BYTES`` of each) as the unknown class; its probabilities
-are calibrated by temperature on a held-out part. A prediction counts only
-where a template of that family is found again in the unit: at least CONFIRM
-of the template's word pairs; if another family's template is found more
-fully there, that one counts.
-
-Licence texts are mostly wrapped or commented, so the templates are also looked
-for in the words of the whole text without line ends, comment marks and
-punctuation, whatever the classifier says: CONFIRM of a long template's pairs
-(SHORT pairs or more), all of a short one's, near together; where templates
-overlap the fuller match counts. A line that is only a licence's name
-(HEADINGS) counts as well. The score of these is the share of pairs found.
+A text's units are its lines, and its paragraphs of several lines joined (a
+blank line ends a paragraph), as licence texts are mostly wrapped. Case,
+punctuation and comment marks are taken off. Units of many words are taken in
+overlapping windows of two sizes (WINDOWS), for notices and for names inside
+other text, so no text is cut off; a window's first BEFORE words are seen by the
+classifier, as a negation may stand there, but not compared with templates,
+unless the unit begins there. A sparse logistic
+regression over hashed word n-grams (one to three words) names a licence family
+or ``unknown``. It is trained on the names, identifiers and notices below in
+customary and in negated wording, against a bounded sample of the corpus' own
+lines as the unknown class (of the SAMPLE_DOCS texts of smallest id hash as many
+as fit into SAMPLE_CHARS characters together, whole). Its probabilities are
+calibrated by temperature on wordings, names and notices that it was not trained
+on, so that the unknown class answers for wordings that are new to it.
+
+A window counts where the classifier finds unknown less likely than not. Then,
+by falling probability, those of its families count (down to LEAST) that a
+template confirms: a template's word pairs are found again in the unit, all of a
+short one's (fewer than SHORT), CONFIRM of a longer one's. Templates confirm
+predictions; they make none. A confirmed unit's score is its family's calibrated
+probability; a text's families are those of its units, with the largest score.
+
+A name alone inside a long line of other prose is a small part of its window and
+may stay unknown; on a line or in a paragraph of its own it is found.
 
 Defined cases: null, empty and blank texts have no paragraph and no licence;
-rows are independent, repeated rows are kept; a unit that ties between families
-takes the first by name; an empty corpus trains on templates alone.
+rows are independent, null and repeated ids are kept; families of equal
+probability go by name; an empty corpus trains on templates alone, an empty
+table gives an empty table; further columns are left behind. A text is held
+whole by one worker.
 """
 
 from __future__ import annotations
@@ -36,65 +45,126 @@ from rxatlas.llm import text as tx
 from rxatlas.llm.common import bounded_sample, columns
 
 U = np.uint64
-#: Customary wordings of licence notices, by family.
-TEMPLATES = {
-    "agpl": ["This program is licensed under the GNU Affero General Public License, version 3.",
-             "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"],
-    "all-rights-reserved": ["All rights reserved.", "Copyright (c) 2020 The Authors. All rights reserved."],
-    "apache": ["Licensed under the Apache License, Version 2.0.",
-               "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
-               "SPDX-License-Identifier: Apache-2.0"],
-    "bsd": ["Released under the BSD License.",
-            "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
-            "SPDX-License-Identifier: BSD-3-Clause"],
-    "cc-by": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "cc-by-nc": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
-    "cc-by-sa": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
-    "gpl": ["This work is licensed under the GNU General Public License, version 3.",
-            "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
-            "SPDX-License-Identifier: GPL-3.0-or-later"],
-    "lgpl": ["This library is licensed under the GNU Lesser General Public License, version 2.1.",
-             "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"],
-    "mit": ["Released under the MIT License.",
-            "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
-            "SPDX-License-Identifier: MIT"],
-    "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
-    "public-domain": ["This work has been released into the public domain.", "SPDX-License-Identifier: CC0-1.0"],
+#: Customary names, identifiers and notices of licences, by family.
+NAMES = {
+    "agpl": ["GNU Affero General Public License", "GNU AGPL", "AGPLv3", "Affero General Public License version 3"],
+    "all-rights-reserved": [],
+    "apache": ["Apache License, Version 2.0", "Apache License", "Apache 2.0 license", "Apache Software License"],
+    "artistic": ["Artistic License 2.0", "Artistic License", "Perl Artistic License"],
+    "boost": ["Boost Software License, Version 1.0", "Boost Software License", "Boost License"],
+    "bsd": ["BSD License", "BSD 3-Clause License", "BSD 2-Clause License", "New BSD License", "Simplified BSD License", "Modified BSD License", "3-clause BSD license"],
+    "cc-by": ["CC BY 4.0", "CC BY 3.0", "CC-BY license", "Creative Commons Attribution 4.0 International License", "Creative Commons Attribution License"],
+    "cc-by-nc": ["CC BY-NC 4.0", "CC BY-NC 3.0", "Creative Commons Attribution-NonCommercial 4.0 International License",
+                 "Creative Commons Attribution-NonCommercial License"],
+    "cc-by-sa": ["CC BY-SA 4.0", "CC BY-SA 3.0", "Creative Commons Attribution-ShareAlike 4.0 International License",
+                 "Creative Commons Attribution-ShareAlike License"],
+    "eclipse": ["Eclipse Public License", "Eclipse Public License 2.0", "Eclipse Public License v1.0"],
+    "gpl": ["GNU General Public License", "GNU GPL", "GPLv3", "GPLv2", "GNU General Public License, version 3", "GNU General Public License version 2", "GPL license"],
+    "isc": ["ISC License", "ISC licence"],
+    "lgpl": ["GNU Lesser General Public License", "GNU LGPL", "LGPLv3", "LGPLv2.1", "GNU Library General Public License",
+             "GNU Lesser General Public License, version 2.1"],
+    "mit": ["MIT License", "MIT licence", "MIT/Expat license", "Expat License", "X11 License"],
+    "mpl": ["Mozilla Public License", "Mozilla Public License, v. 2.0", "MPL 2.0", "Mozilla Public License Version 2.0"],
+    "public-domain": ["CC0 1.0 Universal", "Creative Commons Zero", "CC0 license", "Unlicense"],
+    "zlib": ["zlib License", "zlib/libpng License"],
 }
-UNKNOWN = "unknown"
-FAMILIES = sorted(TEMPLATES)
-WINDOW, STRIDE = 48, 24
-FEATURE_BITS, GRAMS = 16, 3
-SAMPLE_DOCS, SAMPLE_BYTES, VARIANTS = 600, 4000, 60
-CONFIRM = 0.75
-#: Pairs from which a template may be found in part, and words that may lie between, for each of its own.
-SHORT, SPREAD = 10, 1.5
-#: Names that are a licence's heading.
-HEADINGS = {
-    "agpl": "gnu affero general public license", "apache": "apache license", "bsd": "bsd(?: [234][ -]clause)? license",
-    "gpl": "gnu general public license", "lgpl": "gnu (?:lesser|library) general public license", "mit": "mit license", "mpl": "mozilla public license",
+IDENTIFIERS = {
+    "agpl": ["AGPL-3.0-only", "AGPL-3.0-or-later"], "apache": ["Apache-2.0"], "artistic": ["Artistic-2.0"], "boost": ["BSL-1.0"],
+    "bsd": ["BSD-2-Clause", "BSD-3-Clause"], "cc-by": ["CC-BY-4.0"], "cc-by-nc": ["CC-BY-NC-4.0"], "cc-by-sa": ["CC-BY-SA-4.0"],
+    "eclipse": ["EPL-1.0", "EPL-2.0"], "gpl": ["GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later"], "isc": ["ISC"],
+    "lgpl": ["LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later"], "mit": ["MIT"], "mpl": ["MPL-1.1", "MPL-2.0"],
+    "public-domain": ["CC0-1.0", "Unlicense"], "zlib": ["Zlib"],
+}
+NOTICES = {
+    "agpl": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"],
+    "all-rights-reserved": ["All rights reserved.", "Copyright (c) 2020 The Authors. All rights reserved.", "Copyright 2019 by the author, all rights reserved worldwide."],
+    "apache": ["you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"],
+    "artistic": ["This library is free software; you can redistribute it and/or modify it under the same terms as Perl itself."],
+    "boost": ["Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license",
+              "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)"],
+    "bsd": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+            "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+            "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."],
+    "cc-by": ["This work is licensed under a Creative Commons Attribution 4.0 International License."],
+    "cc-by-nc": ["This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
+    "cc-by-sa": ["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "eclipse": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License",
+                "THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE"],
+    "gpl": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+            "You should have received a copy of the GNU General Public License along with this program."],
+    "isc": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"],
+    "lgpl": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"],
+    "mit": ["Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+            "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."],
+    "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/"],
+    "public-domain": ["This work has been released into the public domain.", "This is free and unencumbered software released into the public domain.",
+                      "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."],
+    "zlib": ["This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software",
+             "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software."],
 }
-HEADING = re.compile(r"^[\W_]*(?:the )?(?:" + "|".join(f"(?P<{f}>{x})" for f, x in HEADINGS.items()) + r")[\W_]*$", re.I | re.M)
-MARKS = re.compile(r"[\W_]+")
+#: Wordings around a name, around an identifier, and negated ones. Every HELD-th wording, name and notice calibrates.
+WORDINGS = ["{}", "Licensed under the {}.", "Released under the {}.", "distributed under the {}", "licensed under the terms of the {}", "This work is licensed under the {}",
+            "released under the terms of the {}", "This program is licensed under the {}, version 3.", "The {}", "License: {}", "made available under the {}", "Licensed under {}.",
+            "is published under the {}", "This library is licensed under the {}", "subject to the terms of the {}", "this file is covered by the {}", "distributed under the terms and conditions of the {}",
+            "the source code is available under {}", "you can use it under the {}", "see the {} for details", "available under the {} or a commercial license"]
+ID_WORDINGS = ["SPDX-License-Identifier: {}", "License: {}", "license = \"{}\"", "Licensed under {}", "released under {}", "# SPDX-License-Identifier: {}", "SPDX-License-Identifier: {} OR Proprietary",
+               "License identifier {}"]
+NEGATED = [f"{n} {v} under the {{}}" for n in ("not", "is NOT", "was never", "no longer", "isn't", "cannot be") for v in ("licensed", "released", "distributed", "available", "published")]
+NEGATED += ["this file is not covered by the {}", "incompatible with the {}", "unlike the {}, ours", "instead of the {}", "we decided against the {}", "the {} was rejected by the board",
+            "not under the {}", "does not fall under the {}", "neither the {} nor any other license applies", "without the {}"]
+#: Common words of the texts around a licence.
+COMMON = "the of and to in a is was that it for on with as by at from this be are or an not you we they have has had but which their all one been were when there can more if no out so up into".split()
+HELD = 5
+UNKNOWN = "unknown"
+FAMILIES = sorted(NAMES)
+#: Words of a window and from one to the next.
+WINDOWS = ((48, 24), (20, 8))
+BEFORE, PIECE = 4, 20
+FEATURE_BITS, GRAMS = 17, 3
+SAMPLE_DOCS, SAMPLE_CHARS, VARIANTS, MOST_UNKNOWN = 300, 1_500_000, 2, 8000
+#: Share of a long template's pairs, pairs from which one is long, and the least probability of a confirmed family.
+CONFIRM, SHORT, LEAST = 0.75, 10, 0.2
+MARKS = re.compile(r"[^\w\n]+|_+")
+BLANK_LINE = re.compile(r"\n[\s_]*\n")
+
+
+def plain(text: str) -> str:
+    """Words and line ends alone; case is the hash's affair."""
+    return MARKS.sub(" ", text)
 
 
-def units(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, units as (begin, end) in them, and where each text's units and paragraphs begin."""
-    split = [[p for p in t.split("\n") if p and not p.isspace()] for t in texts]
-    h, ptr = tx.words(pa.array([p for x in split for p in x], pa.large_string()))
+def unit_texts(text: str) -> tuple[int, list[str]]:
+    """The number of paragraphs (lines that hold a word), and the units: each
+    such line, and each paragraph of several lines as one."""
+    clean = plain(text)
+    lines = [x for x in clean.split("\n") if x and not x.isspace()]
+    joined = [p for p in BLANK_LINE.split(clean) if "\n" in p.strip()] if len(lines) > 1 else []
+    return len(lines), lines + joined
+
+
+def units(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """Word hashes, windows as (begin, end, begin of what templates see) in
+    them, where each text's windows begin, and its number of paragraphs."""
+    split = [unit_texts(t) for t in texts]
+    h, ptr = tx.words(pa.array([u for _, x in split for u in x], pa.large_string()))
     size = np.diff(ptr)
-    many = np.maximum(1, -(-(size - STRIDE) // STRIDE))
-    own = np.repeat(np.arange(len(size)), many)
-    k = np.arange(len(own)) - np.repeat(np.cumsum(many) - many, many)
-    begin = ptr[own] + k * STRIDE
-    end = np.minimum(begin + WINDOW, ptr[own + 1]) if len(own) else begin
-    paragraphs = np.concatenate(([0], np.cumsum([len(x) for x in split]))).astype(np.int64)
-    unit_ptr = np.concatenate(([0], np.cumsum(many)))[paragraphs]
-    return h, np.stack([begin, end], 1).astype(np.int64), unit_ptr, paragraphs
-
-
-def features(h: np.ndarray, breaks: np.ndarray) -> list[np.ndarray]:
-    """Hashed n-grams that begin at each word; those across a unit's own end are told apart by ``breaks``."""
+    found = []
+    for window, stride in WINDOWS:
+        many = np.where(size > 0, np.maximum(1, -(-(size - window) // stride) + 1), 0)
+        if window < WINDOWS[0][0]:
+            many[size <= window] = 0  # seen whole already
+        own = np.repeat(np.arange(len(size)), many)
+        k = np.arange(len(own)) - np.repeat(np.cumsum(many) - many, many)
+        begin = ptr[own] + k * stride
+        found.append(np.stack([begin, np.minimum(begin + window, ptr[own + 1]), begin + BEFORE * (k > 0), own], 1))
+    at = np.concatenate(found)
+    at = at[np.lexsort((at[:, 1], at[:, 0], at[:, 3]))]
+    first = np.concatenate(([0], np.cumsum([len(x) for _, x in split]))).astype(np.int64)
+    return h, at[:, :3], np.searchsorted(at[:, 3], first), [n for n, _ in split]
+
+
+def features(h: np.ndarray) -> list[np.ndarray]:
+    """Hashed n-grams that begin at each word."""
     out, run = [], tx.mix(h)
     for k in range(GRAMS):
         if k:
@@ -105,76 +175,23 @@ def features(h: np.ndarray, breaks: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _plain(text: str) -> str:
-    return MARKS.sub(" ", text)
+def marks_of(h: np.ndarray) -> set[int]:
+    """What templates are compared by: a sequence's word pairs; a single word is itself."""
+    return set(tx.combine(h[:-1], h[1:]).tolist()) if len(h) > 1 else set(h.tolist())
 
 
-class Finder:
-    """Templates in whole texts, whatever their lines and marks."""
-
-    def __init__(self):
-        self.family, self.need, self.reach, self.sets = [], [], [], []
-        for f in FAMILIES:
-            for t in TEMPLATES[f]:
-                h = tx.words(pa.array([_plain(t)]))[0]
-                pairs = _pairs(h)
-                self.family.append(f)
-                self.need.append(len(pairs) if len(pairs) < SHORT else CONFIRM * len(pairs))
-                self.reach.append(len(h) if len(pairs) < SHORT else int(SPREAD * len(h)))
-                self.sets.append(np.array(sorted(pairs), U))
-        self.all = np.unique(np.concatenate(self.sets))
-
-    def spans(self, k: int, at: np.ndarray, pair: np.ndarray):
-        """(share, begin, end) where template k is found, apart from one another;
-        its pairs ``pair`` occur at the words ``at``."""
-        counts, low, last = {}, 0, None
-        for x, p in zip(at.tolist(), pair.tolist()):
-            counts[p] = counts.get(p, 0) + 1
-            while at[low] < x + 2 - self.reach[k]:
-                q = int(pair[low])
-                counts[q] -= 1
-                if not counts[q]:
-                    del counts[q]
-                low += 1
-            if len(counts) >= self.need[k]:
-                new = len(counts) / len(self.sets[k]), int(at[low]), x + 2
-                if last is not None and new[1] >= last[2]:
-                    yield last
-                    last = None
-                if last is None or new[0] > last[0]:
-                    last = new
-        if last is not None:
-            yield last
-
-    def find(self, texts: list[str]) -> list[dict[str, float]]:
-        """Families of each text, with the largest share of pairs found."""
-        h, ptr = tx.words(pa.array([_plain(t) for t in texts], pa.large_string()))
-        pairs = tx.combine(h[:-1], h[1:]) if len(h) > 1 else np.zeros(0, U)
-        where = np.searchsorted(self.all, pairs)
-        where[where == len(self.all)] = 0
-        hits = np.flatnonzero(self.all[where] == pairs)
-        cuts = np.searchsorted(hits, ptr)
-        out = []
-        for d, t in enumerate(texts):
-            got, found = {}, []
-            own = hits[cuts[d]:cuts[d + 1]]
-            own = own[own < ptr[d + 1] - 1] - ptr[d]
-            pair = pairs[own + ptr[d]]
-            seen = np.unique(pair)
-            for k, x in enumerate(self.sets):
-                if len(x) <= len(seen) + len(x) - self.need[k] and np.isin(x, seen).sum() >= self.need[k]:
-                    mine = np.isin(pair, x)
-                    found += [(-share, b - e, b, e, self.family[k]) for share, b, e in self.spans(k, own[mine], pair[mine])]
-            if found:
-                taken = np.zeros(ptr[d + 1] - ptr[d], bool)
-                for share, _, b, e, f in sorted(found):
-                    if taken[b:e].mean() <= 0.5:
-                        taken[b:e] = True
-                        got[f] = max(got.get(f, 0.0), -share)
-            for m in HEADING.finditer(t) if "icense" in t or "ICENSE" in t else ():
-                got[m.lastgroup] = 1.0
-            out.append(got)
-        return out
+def template_texts() -> dict[str, list[str]]:
+    """Families' templates: names, identifiers beside a word that makes them one, and notices in pieces a window holds."""
+    out = {}
+    for f in FAMILIES:
+        texts = list(NAMES[f])
+        for i in IDENTIFIERS.get(f, []):
+            texts += [f"License Identifier {i}", f"License {i}", f"under {i}"] if " " not in plain(i).strip() else [i]
+        for n in NOTICES[f]:
+            words = plain(n).split()
+            texts += [" ".join(words[s:s + PIECE]) for s in range(0, max(1, len(words) - PIECE // 2), PIECE)]
+        out[f] = texts
+    return out
 
 
 class Model:
@@ -182,113 +199,148 @@ class Model:
 
     def __init__(self, weights, bias, temperature):
         self.weights, self.bias, self.temperature = weights, bias, temperature
-        self.templates = {f: [_pairs(*tx.words(pa.array([t]))[:1]) for t in TEMPLATES[f]] for f in FAMILIES}
-        self.finder = Finder()
+        self.templates = {f: [marks_of(tx.words(pa.array([plain(t)]))[0]) for t in x] for f, x in template_texts().items()}
 
     def logits(self, h: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Of the units ``at``: sums over their n-grams, by running sums."""
         out = np.empty((len(at), len(self.bias)))
-        for s in range(0, len(at), 4000):
-            part = at[s:s + 4000]
-            low, high = part[0, 0], part[:, 1].max()
+        for s in range(0, len(at), 2000):
+            part = at[s:s + 2000]
+            low, high = part[:, 0].min(), part[:, 1].max()
             x = h[low:min(len(h), high + GRAMS)]
-            f = features(x, part)
-            for k in range(GRAMS):
+            for k, f in enumerate(features(x)):
                 run = np.zeros((len(x) + 1, len(self.bias)))
-                np.cumsum(self.weights[k][f[k]], axis=0, out=run[1:], dtype=np.float64)
+                np.cumsum(self.weights[k][f], axis=0, out=run[1:], dtype=np.float64)
                 begin = part[:, 0] - low
                 end = np.maximum(begin, part[:, 1] - low - k)
                 add = run[end] - run[begin]
-                out[s:s + 4000] = add if k == 0 else out[s:s + 4000] + add
-        return out / np.sqrt(np.maximum(np.diff(at, axis=1), 1)) + self.bias
+                out[s:s + 2000] = add if k == 0 else out[s:s + 2000] + add
+        return out / np.sqrt(np.maximum(at[:, 1] - at[:, 0], 1))[:, None] + self.bias
 
     def probabilities(self, h, at) -> np.ndarray:
         z = self.logits(h, at) / self.temperature
         p = np.exp(z - z.max(1, keepdims=True))
         return p / p.sum(1, keepdims=True)
 
+    def confirmed(self, family: str, own: set[int]) -> bool:
+        return any(len(own & t) >= (len(t) if len(t) < SHORT else CONFIRM * len(t)) for t in self.templates[family])
+
     def scan(self, texts: list[str]):
-        """(paragraphs, confirmed families, largest probability, unconfirmed units) of each text."""
+        """(paragraphs, confirmed families, units without a confirmed one) of each text."""
         h, at, ptr, paragraphs = units(texts)
-        found = [(int(n), {}, 0) for n in np.diff(paragraphs)]
+        found = [(n, {}, 0) for n in paragraphs]
         if len(at):
             p = self.probabilities(h, at)
-            k = p.argmax(1)
-            for u in np.flatnonzero(k < len(FAMILIES)):
+            for u in np.flatnonzero(p[:, -1] < 0.5).tolist():
                 doc = int(np.searchsorted(ptr, u, "right")) - 1
-                family = FAMILIES[k[u]]
-                own = _pairs(h[at[u, 0]:at[u, 1]])
+                words = h[at[u, 2]:at[u, 1]]
+                own = marks_of(words) | set(words.tolist())
+                ranked = sorted((-x, f) for x, f in zip(p[u].tolist(), FAMILIES) if x >= LEAST)
+                good = {f: -x for x, f in ranked if self.confirmed(f, own)}
                 n, families, other = found[doc]
-                share = {f: max(len(own & t) / len(t) for t in x) for f, x in self.templates.items()}
-                if share[family] >= CONFIRM:
-                    family = min(share, key=lambda f: (-share[f], f != family, f))
-                    families[family] = max(families.get(family, 0.0), float(p[u, FAMILIES.index(family)]))
-                else:
-                    other += 1
-                found[doc] = n, families, other
-        for (_, families, _), whole in zip(found, self.finder.find(texts)):
-            for f, share in whole.items():
-                families.setdefault(f, share)
+                for f, x in good.items():
+                    families[f] = max(families.get(f, 0.0), x)
+                found[doc] = n, families, other + (not good)
         return found
 
 
-def _pairs(h: np.ndarray) -> set[int]:
-    return set(tx.combine(h[:-1], h[1:]).tolist()) if len(h) > 1 else set(h.tolist())
+def wordings() -> tuple[list[str], list[int], list[bool]]:
+    """Training texts of the families and of their negations: text, class, and whether it calibrates."""
+    texts, label, held = [], [], []
 
+    def add(text, k, out):
+        texts.append(text)
+        label.append(k)
+        held.append(out)
 
-def _varied(rng: np.random.RandomState, words: list[str], filler: list[str]) -> str:
-    """A template with a word lost, replaced or added now and then, and text around it."""
-    out = []
-    for w in words:
-        x = rng.rand()
-        if x < 0.04 and len(words) > 4:
-            continue
-        out.append(filler[rng.randint(len(filler))] if x < 0.07 and len(words) > 4 else w.upper() if x < 0.1 else w)
-    pad = lambda: [filler[rng.randint(len(filler))] for _ in range(rng.randint(0, 6) * (rng.rand() < 0.4))]
-    return " ".join([*pad(), *out, *pad()])
+    for k, f in enumerate(FAMILIES):
+        for frames, names in ((WORDINGS, NAMES[f]), (ID_WORDINGS, IDENTIFIERS.get(f, []))):
+            for j, w in enumerate(frames):
+                for i, n in enumerate(names):
+                    # a wording that calibrates is new with every name, a name that does is new in every wording
+                    add(w.format(n), k, j % HELD == HELD - 1 or (len(names) >= HELD and i % HELD == HELD - 1))
+        for n in NOTICES[f]:
+            words = plain(n).split()
+            for s in range(0, max(1, len(words) - PIECE // 2), PIECE // 2):
+                add(" ".join(words[s:s + 2 * PIECE]), k, False)
+        for j, w in enumerate(NEGATED):
+            for i, n in enumerate(NAMES[f]):
+                if i == j % len(NAMES[f]) or j % 3 == i % 3:
+                    add(w.format(n), len(FAMILIES), j % HELD == HELD - 1)
+    return texts, label, held
 
 
 def train(corpus: list[str]) -> Model:
-    """Softmax regression on varied templates against the corpus' paragraphs."""
+    """Softmax regression on licence wordings against the corpus' lines."""
     rng = np.random.RandomState(10)
-    lines = [p for t in corpus for p in t.split("\n") if p and not p.isspace()]
-    known = [_pairs(tx.words(pa.array([t]))[0]) for f in FAMILIES for t in TEMPLATES[f]]
-    plain = [p for p in lines if not any(len(o & t) >= 0.5 * len(t) for o in [_pairs(tx.words(pa.array([p]))[0])] for t in known)]
-    filler = [w for p in plain[:400] for w in p.split()] or ["of", "and", "the", "text"]
-    words = [w for f in FAMILIES for t in TEMPLATES[f] for w in t.split()]
-    texts, label = [], []
-    for k, f in enumerate(FAMILIES):
-        for t in TEMPLATES[f]:
-            for _ in range(VARIANTS):
-                texts.append(_varied(rng, t.split(), filler))
-                label.append(k)
-    for p in plain:
-        texts.append(p)
+    lines = [x for t in corpus for x in unit_texts(t)[1]]
+    own = Model(None, None, None).templates
+    known = {f: [t for t in x if len(t) > 1] for f, x in own.items()}
+    h, ptr = tx.words(pa.array(lines, pa.large_string()))
+    every = np.array(sorted(set().union(*[t for x in known.values() for t in x])), U)
+    pair = tx.combine(h[:-1], h[1:]) if len(h) > 1 else np.zeros(0, U)
+    hit = np.zeros(len(h) + 1, np.int64)
+    if len(pair):
+        np.cumsum(np.isin(pair, every), out=hit[1:len(pair) + 1])
+        hit[len(pair) + 1:] = hit[len(pair)]
+    hits = hit[np.maximum(ptr[1:] - 1, ptr[:-1])] - hit[ptr[:-1]]
+    unlabelled = [x for x, n in zip(lines, hits) if n < 2]  # lines that may hold a licence teach nothing
+    filler = [w for p in unlabelled[:400] for w in p.split()] or ["of", "and", "the", "text"]
+    base, base_label, base_held = wordings()
+    texts, label, held = [], [], []
+
+    def pad(n):  # words of the corpus and common words, the more of either by chance
+        common = rng.rand()
+        return [COMMON[rng.randint(len(COMMON))] if rng.rand() < common else filler[rng.randint(len(filler))] for _ in range(n)]
+
+    for t, k, out in zip(base, base_label, base_held):
+        for v in range(VARIANTS + 1):
+            words = plain(t).split()
+            if v and len(words) < WINDOWS[1][0]:  # inside other text, up to a short window
+                n = WINDOWS[1][0] - len(words)
+                left = rng.randint(0, n + 1)
+                words = [*pad(left), *words, *pad(rng.randint(0, n - left + 1))]
+            texts.append(" ".join(words))
+            label.append(k)
+            held.append(out)
+    words = [w for f in FAMILIES for t in template_texts()[f] for w in plain(t).split()]
+    for k in range(1500):  # licence words out of order are no licence
+        texts.append(" ".join([words[rng.randint(len(words))] if rng.rand() < 0.4 * (k % 2) else x for x in pad(rng.randint(1, 20))]))
         label.append(len(FAMILIES))
-    for _ in range(10 * VARIANTS):  # licence words out of order are no licence
-        texts.append(" ".join([words[rng.randint(len(words))] if rng.rand() < 0.3 else filler[rng.randint(len(filler))] for _ in range(rng.randint(1, 20))]))
+        held.append(k % HELD == 0)
+    for k, p in enumerate(unlabelled):
+        texts.append(" ".join(p.split()))
         label.append(len(FAMILIES))
+        held.append(k % HELD == 0)
     h, at, ptr, _ = units(texts)
-    y = np.repeat(np.array(label), np.diff(ptr))
+    own = np.repeat(np.arange(len(texts)), np.diff(ptr))
+    plain_from = len(texts) - len(unlabelled)
+    extra = np.flatnonzero(own >= plain_from)
+    gone = rng.permutation(extra)[MOST_UNKNOWN:]  # so many windows of the corpus teach what unknown is
+    at, own = np.delete(at, gone, 0), np.delete(own, gone)
+    y, held = np.array(label)[own], np.array(held)[own]
     classes = len(FAMILIES) + 1
+    f = features(h)
     rows, cols = [], []
-    f = features(h, at)
     for k in range(GRAMS):
         size = np.maximum(0, at[:, 1] - at[:, 0] - k)
-        own = np.repeat(np.arange(len(at)), size)
-        pos = at[own, 0] + np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
-        rows.append(own)
+        of = np.repeat(np.arange(len(at)), size)
+        pos = at[of, 0] + np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+        rows.append(of)
         cols.append(f[k][pos] + k * (1 << FEATURE_BITS))
     rows, cols = np.concatenate(rows), np.concatenate(cols)
-    scale = 1 / np.sqrt(np.maximum(np.diff(at, axis=1), 1))  # the value of each of a unit's n-grams
+    scale = 1 / np.sqrt(np.maximum(at[:, 1] - at[:, 0], 1))[:, None]  # the value of each of a unit's n-grams
     order = np.argsort(rows, kind="stable")
     rows, cols = rows[order], cols[order]
+    used, col, seen = np.unique(cols, return_inverse=True, return_counts=True)
+    keep = seen[col] > 1  # n-grams seen once say nothing about other texts
+    rows, cols = rows[keep], cols[keep]
     used, col = np.unique(cols, return_inverse=True)
     full_rows, row_starts = np.unique(rows, return_index=True)
     by_col = np.argsort(col, kind="stable")
     col_rows, col_starts = rows[by_col], np.searchsorted(col[by_col], np.arange(len(used)))
-    held = rng.rand(len(at)) < 0.2
     weight = (1 / np.bincount(y, minlength=classes).clip(1))[y] * ~held
+    weight[y == classes - 1] *= classes  # unknown stands for everything else
     weight /= weight.sum()
     w, b = np.zeros((classes, len(used))), np.zeros(classes)
     gw, gb = np.full(w.shape, 1e-8), np.full(classes, 1e-8)
@@ -300,7 +352,7 @@ def train(corpus: list[str]) -> Model:
             z[full_rows, c] = np.add.reduceat(w[c][col], row_starts)
         return z * scale + b
 
-    for _ in range(120):  # full-batch steps scaled by each weight's own gradients
+    for _ in range(60):  # full-batch steps scaled by each weight's own gradients
         z = logits()
         p = np.exp(z - z.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
@@ -312,9 +364,11 @@ def train(corpus: list[str]) -> Model:
         w -= 0.5 * d / np.sqrt(gw)
         b -= 0.1 * g.sum(0) / np.sqrt(gb)
     z, best = logits()[held], (np.inf, 1.0)
+    share = (1 / np.bincount(y[held], minlength=classes).clip(1))[y[held]]
+    share[y[held] == classes - 1] *= classes
     for t in (0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0) if held.any() else ():
         q = z / t
-        loss = -(q[np.arange(len(q)), y[held]] - q.max(1) - np.log(np.exp(q - q.max(1, keepdims=True)).sum(1))).mean()
+        loss = -(share * (q[np.arange(len(q)), y[held]] - q.max(1) - np.log(np.exp(q - q.max(1, keepdims=True)).sum(1)))).mean()
         best = min(best, (loss, t))
     full = np.zeros((GRAMS << FEATURE_BITS, classes), np.float32)
     full[used] = w.T
@@ -322,10 +376,16 @@ def train(corpus: list[str]) -> Model:
 
 
 def learn(docs: DataFrame) -> Model:
-    few = bounded_sample(docs.where("text is not null").select("doc_id"), "doc_id", SAMPLE_DOCS)
-    got = docs.join(F.broadcast(few), "doc_id", "left_semi").select(  # at most SAMPLE_DOCS ids
-        "doc_id", F.substring(F.encode("text", "UTF-8"), 1, SAMPLE_BYTES).alias("text")).toArrow().sort_by("doc_id")
-    return train([(x or b"").decode("utf-8", "ignore") for x in got.column("text").to_pylist()])
+    """The model, with the unknown class from ``docs`` (doc_id, text)."""
+    rows = docs.where("text is not null").select("doc_id", F.length("text").alias("size"))
+    few, room = [], SAMPLE_CHARS
+    for r in bounded_sample(rows, "doc_id", SAMPLE_DOCS).collect():
+        if r["size"] <= room:
+            few.append((r.doc_id,))
+            room -= r["size"]
+    few = docs.sparkSession.createDataFrame(few, "doc_id long").distinct()  # at most SAMPLE_DOCS ids
+    got = docs.join(F.broadcast(few), "doc_id", "left_semi").select("doc_id", "text").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    return train([x or "" for x in got.column("text").to_pylist()])
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -333,7 +393,7 @@ def scan(docs: DataFrame) -> DataFrame:
     row of ``docs`` (doc_id, text): all families found, sorted and comma-joined,
     the most probable of them (null if none) and its probability."""
     d = columns(docs, doc_id="long", text="string")
-    sent = d.sparkSession.sparkContext.broadcast(learn(d))  # 10 MB, whatever the input
+    sent = d.sparkSession.sparkContext.broadcast(learn(d))  # 30 MB, whatever the input
 
     def run(batches):
         for b in batches:

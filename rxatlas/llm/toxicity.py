@@ -2,9 +2,11 @@
 
 A text is a bag of segments: its words, and runs of one-letter words taken
 together (spaced-out insults). The kernel of two segments counts the common
-subsequences of three and four letters, each occurrence weighted by DECAY for
-every character it skips, inside a bounded span: inserted and gapped characters
-cost weight, not the match. Kernel values to LANDMARKS segments give Nystroem
+subsequences of three and four letters, of any script. An occurrence is weighted
+by DECAY for every letter it skips, of which there may be a bounded number, and
+by INSERTED for every character between its letters that is no letter, of which
+there may be any number: inserted and gapped characters cost weight, not the
+match. Kernel values to LANDMARKS segments give Nystroem
 features, on which a squared-hinge SVM is trained by multiple-instance rounds:
 labels are the sentences' (a document's label stands for its sentences); in
 each round every toxic text contributes its highest-scoring segments, clean
@@ -13,9 +15,11 @@ feature map, the decision function folds into one table of weights over
 subsequences, so scoring a segment is a sum of look-ups.
 
 A document's score is a logistic function of how many of its segments exceed
-fixed quantiles of the decision values, and of the largest one. Training takes
-bounded samples (``SAMPLE_DOCS`` labelled documents of each class by hash of
-the id, ``SAMPLE_BYTES`` of each); scoring takes whole texts.
+fixed quantiles of the decision values, and of the largest one. Training takes a
+bounded sample of labelled rows, each with its whole text: of each class the
+SAMPLE_DOCS rows of smallest id hash, as far as they fit into SAMPLE_CHARS
+characters together (a text of more than that is no training row). Scoring takes
+all texts, whole.
 
 Defined cases: null and empty texts have no segment and get the score of an
 empty bag; rows are independent; without labelled rows of both classes the
@@ -36,14 +40,15 @@ from rxatlas.llm import text as tx
 from rxatlas.llm.common import bounded_sample, columns, fold
 
 U = np.uint64
-SAMPLE_DOCS, SAMPLE_BYTES = 2000, 8000
+SAMPLE_DOCS, SAMPLE_CHARS = 2000, 24_000_000
 LANDMARKS, ROUNDS, WITNESSES, HARD = 160, 4, 4, 4000
-DECAY = 0.6
+#: Weight of a skipped letter, and of an inserted character.
+DECAY, INSERTED = 0.6, 0.85
+#: Letters of a subsequence, and the letters that it may reach over.
 SPANS = {3: 6, 4: 6}
 TABLE_BITS = 19
-SYMBOLS = 64
-EDGE = SYMBOLS - 1
-#: Symbols of code points: 0 is no letter (an inserted character), 1-26 a-z, others by hash.
+#: The symbol of a segment's two ends; a letter's symbol is its own lower-cased code point, 0 is no letter.
+EDGE = 0x110000
 #: Characters that stand for letters.
 STANDS_FOR = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 OFFSETS = [(0, *d) for p, span in SPANS.items() for d in combinations(range(1, span), p - 1)]
@@ -51,25 +56,27 @@ QUANTILES = (0.9, 0.99, 0.997, 0.999, 0.9997, 0.9999)
 
 
 def _symbols() -> tuple[np.ndarray, np.ndarray]:
-    sym, space = np.zeros(0x3001, np.uint8), np.zeros(0x3001, bool)
-    for c in range(0x3000):
-        ch = chr(c)
-        space[c] = ch.isspace() and c not in range(0x1C, 0x20)
-        low = ch.lower()[:1]
-        if "a" <= low <= "z":
-            sym[c] = ord(low) - 96
-        elif ch.isalpha():
-            sym[c] = 27 + (ord(low) * 40503 >> 4) % (EDGE - 27)
+    """Of every code point: its symbol, and whether it is white space."""
+    chars = [chr(c) for c in range(0x110000)]
+    space = np.array([ch.isspace() for ch in chars])
+    space[0x1C:0x20] = False
+    sym = np.zeros(0x110000, np.int32)
+    for c in np.flatnonzero(np.array([ch.isalpha() for ch in chars])).tolist():
+        sym[c] = ord(chars[c].lower()[0])
     for a, b in STANDS_FOR.items():
-        sym[ord(a)] = ord(b) - 96
-    sym[0x3000] = 27  # stands for all further code points
+        sym[ord(a)] = ord(b)
     return sym, space
 
 
 SYMBOL, SPACE = _symbols()
-_r = np.random.RandomState(4)
-SYMBOL_VALUE = _r.randint(1, 2**63 - 1, SYMBOLS, dtype=np.int64).astype(U) | U(1)
-GRAM_VALUE = [_r.randint(1, 2**63 - 1, SYMBOLS, dtype=np.int64).astype(U) for _ in range(4)]
+#: Inserted characters beyond this cost no more: their weight is next to nothing.
+MOST_INSERTED = 255
+INSERTED_POWER = INSERTED ** np.arange(MOST_INSERTED + 1)
+
+
+def symbol_hash(sym: np.ndarray, place: int) -> np.ndarray:
+    """A random-looking 64-bit value of each symbol at a place of a subsequence."""
+    return tx.mix(sym.astype(U) + U((place + 1) << 32))
 
 
 class Segments:
@@ -78,7 +85,7 @@ class Segments:
     def __init__(self, texts: pa.Array):
         buf, at = tx.flat(texts)
         lead = (buf & 0xC0) != 0x80
-        code = np.minimum(np.frombuffer(buf.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32), 0x3000)
+        code = np.frombuffer(buf.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
         start = np.concatenate(([0], np.cumsum(lead)))[at]
         n = len(code)
         word = ~SPACE[code]
@@ -100,7 +107,7 @@ class Segments:
         self.ptr = np.searchsorted(doc, np.arange(len(start)), "left")
         p, inverse = tx.powers(n + 1)
         run = np.zeros(n + 1, U)
-        np.cumsum(SYMBOL_VALUE[self.symbol] * p[:n], out=run[1:])
+        np.cumsum(symbol_hash(self.symbol, 0) * p[:n], out=run[1:])
         self.key = tx.mix((run[e] - run[b]) * inverse[b] + (e - b).astype(U))
 
     def subsequences(self, which: np.ndarray):
@@ -108,33 +115,47 @@ class Segments:
         b, e = self.begin[which], self.end[which]
         size = e - b + 2
         ptr = np.concatenate(([0], np.cumsum(size)))
-        sym = np.full(ptr[-1] + 8, 0, np.uint8)
         own = np.repeat(np.arange(len(which)), size)
         inner = np.arange(ptr[-1]) - ptr[own]
-        sym[:ptr[-1]] = np.where((inner == 0) | (inner == size[own] - 1), EDGE, self.symbol[np.clip(b[own] + inner - 1, 0, max(len(self.symbol) - 1, 0))])
-        left = size[own] - inner  # symbols from here to the segment's end
+        sym = np.where((inner == 0) | (inner == size[own] - 1), EDGE, self.symbol[np.clip(b[own] + inner - 1, 0, max(len(self.symbol) - 1, 0))])
+        letter = np.flatnonzero(sym)
+        # letters alone from here on; the characters between two of them by running number
+        others = letter - np.arange(len(letter))
+        sym, own = sym[letter], own[letter]
         m = len(own)
+        hashes = [symbol_hash(sym, k) for k in range(max(SPANS))]
         for d in OFFSETS:
-            ok = left > d[-1]
-            for x in d:
-                ok &= sym[x:m + x] > 0
-            at = np.flatnonzero(ok)
+            last = np.full(m, -1)
+            last[:max(0, m - d[-1])] = own[d[-1]:]
+            at = np.flatnonzero(last == own)
             h = np.full(len(at), U(len(d)), U)
             for k, x in enumerate(d):
-                h = h * U(0x9E3779B97F4A7C15) + GRAM_VALUE[k][sym[at + x]]
+                h = h * U(0x9E3779B97F4A7C15) + hashes[k][at + x]
             h = (h ^ (h >> U(31))) * U(0xD6E8FEB86659FD93)
-            yield own[at], (h >> U(64 - TABLE_BITS)).astype(np.int64), DECAY ** (d[-1] + 1 - len(d))
+            inserted = np.minimum(others[at + d[-1]] - others[at], MOST_INSERTED)
+            yield own[at], (h >> U(64 - TABLE_BITS)).astype(np.int64), DECAY ** (d[-1] + 1 - len(d)) * INSERTED_POWER[inserted]
 
 
 def values(seg: Segments, which: np.ndarray, table: np.ndarray, bias: float) -> np.ndarray:
     """Decision values: kernel sums by the folded table, scaled by each segment's own norm."""
     total, norm = np.zeros(len(which)), np.full(len(which), 1e-9)
     for own, at, weight in seg.subsequences(which):
-        total += np.bincount(own, table[at], len(which)) * weight
-        norm += np.bincount(own, minlength=len(which)) * weight * weight
+        total += np.bincount(own, table[at] * weight, len(which))
+        norm += np.bincount(own, weight * weight, len(which))
     return total / np.sqrt(norm) + bias
 
 
+def kernel(a: str, b: str) -> float:
+    """The kernel of two segments, each scaled by its own norm (1 for equal ones)."""
+    seg = Segments(pa.array([a, b]))
+    which = np.array([int(seg.ptr[0]), int(seg.ptr[1])])
+    feature = np.zeros((2, 1 << TABLE_BITS))
+    for own, at, weight in seg.subsequences(which):
+        np.add.at(feature, (own, at), weight)
+    norm = np.sqrt((feature * feature).sum(1))
+    return float(feature[0] @ feature[1] / (norm[0] * norm[1])) if norm.all() else 0.0
+
+
 class Model:
     def __init__(self, table=None, bias=0.0, cuts=None, coef=None, prior=0.0):
         self.table, self.bias, self.cuts, self.coef, self.prior = table, bias, cuts, coef, prior
@@ -260,8 +281,8 @@ def train(texts: pa.Array, toxic: np.ndarray, weight: np.ndarray) -> Model:
         code, x, norm = [], [], np.full(len(rows), 1e-9)
         for own, at, weight_ in seg.subsequences(first[rows]):
             code.append(own * (1 << TABLE_BITS) + at)
-            x.append(np.full(len(at), weight_))
-            norm += np.bincount(own, minlength=len(rows)) * weight_ * weight_
+            x.append(weight_)
+            norm += np.bincount(own, weight_ * weight_, len(rows))
         code, back = np.unique(np.concatenate(code), return_inverse=True)
         x = np.bincount(back, np.concatenate(x))
         own, at = code >> TABLE_BITS, code & ((1 << TABLE_BITS) - 1)
@@ -297,14 +318,20 @@ def train(texts: pa.Array, toxic: np.ndarray, weight: np.ndarray) -> Model:
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """The model from labelled rows; ``docs``: doc_id, text; ``labels``: doc_id, toxic."""
     known = labels.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.join(docs.select("doc_id"), "doc_id", "left_semi")
+    size = docs.groupBy("doc_id").agg(F.sum(F.coalesce(F.length("text"), F.lit(0))).alias("size"))
+    known = known.join(size, "doc_id")
     total = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
-    few = bounded_sample(known.where("toxic = 1"), "doc_id", SAMPLE_DOCS).union(
-        bounded_sample(known.where("toxic = 0"), "doc_id", SAMPLE_DOCS))
-    sample = docs.join(F.broadcast(few), "doc_id").select(  # at most 2 * SAMPLE_DOCS rows
-        "doc_id", F.substring(F.encode("text", "UTF-8"), 1, SAMPLE_BYTES).alias("text"), "toxic").toArrow().sort_by("doc_id")
+    few = []
+    for k in (0, 1):
+        room = SAMPLE_CHARS
+        for r in bounded_sample(known.where(F.col("toxic") == k), "doc_id", SAMPLE_DOCS).collect():
+            if r["size"] <= room:
+                few.append((r.doc_id, r.toxic))
+                room -= r["size"]
+    few = docs.sparkSession.createDataFrame(few, "doc_id long, toxic int")  # at most 2 * SAMPLE_DOCS rows
+    sample = docs.join(F.broadcast(few), "doc_id").select("doc_id", "text", "toxic").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
     toxic = sample.column("toxic").to_numpy()
-    texts = pa.array([(x or b"").decode("utf-8", "ignore") for x in sample.column("text").to_pylist()], pa.string())
+    texts = sample.column("text").combine_chunks().fill_null("")
     share = {k: total[k] / max(1, int((toxic == k).sum())) for k in total}
     return train(texts, toxic, np.array([share.get(int(k), 1.0) for k in toxic]))
 
