@@ -9,12 +9,15 @@ The vector has two parts. EXACT lanes modulo 2**64 are a 512-bit digest of the
 paragraph: equal multisets have equal sums, others practically never. NEAR
 lanes modulo 2**32 are sums of random signs over the paragraph's word pairs:
 their inner products estimate how much two texts share, also where a paragraph
-was changed in part.
+was changed in part. With 128 of them the estimate's standard error is about
+0.09 for texts of equal length that share little, and less the more they share.
 
 Defined cases: null text is empty; the empty multiset is all zeros and like
 itself only; texts that differ in the order of paragraphs or in blank lines are
 equal; rows that share a doc_id follow each other in the order of their text;
-a null doc_id counts as smaller than any other.
+a null doc_id counts as smaller than any other, so rows without an id follow each
+other by text in one range, which a table with very many of them makes long. An
+empty table gives an empty table; further columns are left behind.
 """
 
 from __future__ import annotations

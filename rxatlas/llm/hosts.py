@@ -15,7 +15,10 @@ Defined cases: a null url, or one without ``://``, has an empty host and path
 and is judged as the host ``''``; a host without labelled pages has its
 domain's reputation; without any label nothing is blocked; repeated pages are
 judged and counted as often as they occur; a page with several labels counts as
-bad if one of them is; null labels count as not bad.
+bad if one of them is; null labels count as not bad. Repeated rows and null ids
+of the labels add nothing; empty tables of pages give empty tables; further
+columns, whatever their names, are left behind; of rules that fit, the longest
+wins, and no two of one host and path exist.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ Everything that is scored is scored over whole texts.
 Defined cases: null text or text without a letter is ``und`` with score 0; a
 text whose n-grams no language holds gets the first language by name and score
 0; ties go to the first name; rows are independent, repeated rows are kept;
-no labelled rows at all make every document ``und``.
+no labelled rows at all make every document ``und``; null ids fold as the empty
+text; an empty table gives an empty table; further columns are left behind.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from rxatlas.llm.common import columns, fold, stored
 U = np.uint64
 SAMPLE_DOCS = 1000
 #: N-grams of one language's filter, and n-grams that a task holds while counting.
-CAPACITY, HELD = 300_000, 4_000_000
+CAPACITY, HELD = 300_000, 1_000_000
 MIN_DOCS, MIN_SHARE = 2, 0.2
 SIZES = (2, 3, 4)
 TABLE_BITS = 20

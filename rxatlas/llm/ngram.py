@@ -24,7 +24,8 @@ ends with the end token.
 
 Defined cases: null text is empty, its only token the end; texts of rows in
 training count as often as the rows occur; without training rows every token
-has probability 1 / (V + 1) = 1.
+has probability 1 / (V + 1) = 1. Null ids fold as the empty text; an empty table
+gives an empty table; further columns are left behind.
 """
 
 from __future__ import annotations

@@ -77,20 +77,21 @@ LEFT JOIN fits f ON f.host = p.host AND f.path = p.path
 """
 
 ORACLE["op1_nn_descent"] = r"""
-WITH RECURSIVE valid AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+WITH RECURSIVE vectors AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+valid AS (
+  SELECT r, e, len(e) AS n FROM vectors
+  WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
 links AS (
-  SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b ON a.vec_id <> b.vec_id
-  WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+  SELECT a.r AS a, b.r AS b FROM valid a JOIN valid b ON a.n = b.n
+  WHERE a.r <> b.r AND CASE WHEN a.n = b.n THEN list_cosine_similarity(a.e, b.e) >= 0.9 ELSE false END),
 reach AS (
-  SELECT vec_id AS id, vec_id AS r FROM embeddings
-  UNION SELECT links.b, reach.r FROM reach JOIN links ON links.a = reach.id),
-lowest AS (SELECT id, min(r) AS component_id FROM reach GROUP BY id)
-SELECT v.vec_id, (SELECT count(*) FROM links WHERE a = v.vec_id) AS n_links, l.component_id,
-       coalesce(v.vec_id = l.component_id, false) AS kept
-FROM embeddings v LEFT JOIN lowest l ON l.id = v.vec_id
+  SELECT r AS id, vec_id AS v FROM vectors
+  UNION SELECT links.b, reach.v FROM reach JOIN links ON links.a = reach.id),
+lowest AS (SELECT id, min(v) AS component_id FROM reach GROUP BY id),
+counts AS (SELECT a, count(*) AS k FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(k, 0) AS n_links, l.component_id, coalesce(v.vec_id = l.component_id, false) AS kept
+FROM vectors v LEFT JOIN lowest l ON l.id = v.r LEFT JOIN counts ON counts.a = v.r
 """
 
 ORACLE["op13_bloom_lines"] = r"""

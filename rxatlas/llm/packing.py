@@ -10,7 +10,11 @@ and its first part fills the sequence of lowest cost that has any room.
 
 No shuffle: a load depends on its input split alone, so a lost task repeats
 with the same result. Null text is empty; such a document is its end id alone.
-A document longer than a load makes a larger load.
+A document longer than a load makes a larger load. Rows are independent, null and
+repeated ids are packed as they come; documents of equal cost go by their place in
+the load, sequences of equal cost by their number; an empty table gives no piece;
+further columns are left behind. Twelve sequences a load at most are shorter than
+``size``; less than 512 of a load's 2**20 tokens (0.05 %) lie in those below 512.
 """
 
 from __future__ import annotations
