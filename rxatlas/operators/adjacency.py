@@ -122,20 +122,24 @@ def _at_levels(b: DataFrame, g: float) -> DataFrame:
     return b.withColumn("cx", F.explode(F.sequence(lo("minx"), lo("maxx")))).withColumn("cy", F.explode(F.sequence(lo("miny"), lo("maxy"))))
 
 
-def meeting_boxes(a: DataFrame, b: DataFrame, g: float | None = None) -> DataFrame:
-    """(code, other) for every box of ``a`` and of ``b`` (code, minx, miny, maxx,
+def meeting_boxes(a: DataFrame, b: DataFrame, g: float | None = None, points: bool = False) -> DataFrame:
+    """(code, other, x, y) for every box of ``a`` and of ``b`` (code, minx, miny, maxx,
     maxy) that share a point.
 
     The larger box of a pair has at most four cells at its own level, and the
     smaller one at most four there: each box is listed at its own level and looked
     up at the coarser levels that the other table has (a level for each doubling
-    of the side at most). ``g``: the side of the smallest cells.
+    of the side at most). x, y: the lower left corner of the box of ``a``. ``g``:
+    the side of the smallest cells. ``points``: the boxes of ``a`` have no extent.
     """
     if g is None:
         r = a.union(b).agg(F.min(F.when(_side() > 0, _side())).alias("lo"), F.max(_side()).alias("hi")).first()
         g = max(r.lo or 1.0, (r.hi or 1.0) / 2.0 ** 40)
     a, b = a.withColumn("own", _level(g)), b.withColumn("own", _level(g))
-    levels = {k: sorted(r.own for r in x.select("own").distinct().collect()) for k, x in (("a", a), ("b", b))}
+    own = a.select(F.lit("a").alias("k"), "own").union(b.select(F.lit("b").alias("k"), "own")).distinct().collect()
+    levels = {k: sorted(r.own for r in own if r.k == k) for k in ("a", "b")}
+    if not levels["a"] or not levels["b"]:
+        return a.select("code", F.col("code").alias("other"), F.col("minx").alias("x"), F.col("miny").alias("y")).where(F.lit(False))
 
     def home(x):
         return _at_levels(x.withColumn("L", F.col("own")), g)
@@ -148,14 +152,15 @@ def meeting_boxes(a: DataFrame, b: DataFrame, g: float | None = None) -> DataFra
         on = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("L", "cx", "cy")]
         meet = ((F.col("x.minx") <= F.col("y.maxx")) & (F.col("y.minx") <= F.col("x.maxx"))
                 & (F.col("x.miny") <= F.col("y.maxy")) & (F.col("y.miny") <= F.col("x.maxy")))
-        return x.join(y, on).where(meet).select(F.col("x.code").alias("code"), F.col("y.code").alias("other"))
+        return x.join(y, on).where(meet).select(
+            F.col("x.code").alias("code"), F.col("y.code").alias("other"), F.col("x.minx").alias("x"), F.col("x.miny").alias("y"))
 
     out = joined(home(a), home(b))
-    if levels["b"]:
+    if levels["b"][-1] > levels["a"][0]:
         out = out.union(joined(visits(a, levels["b"]), home(b)))
-    if levels["a"]:
+    if levels["a"][-1] > levels["b"][0]:
         out = out.union(joined(home(a), visits(b, levels["a"])))
-    return out.distinct()
+    return out if points else out.distinct()  # a point lies in one cell of a level
 
 
 def _orient(ax, ay, bx, by, cx, cy):
@@ -233,12 +238,11 @@ def neighbour_pairs(areas: DataFrame, cell: float | None = None,
 
     # containment without edge contact: one vertex per part, a box without
     # extent, against the other area's rings
-    reps = areas.select("code", F.posexplode(F.expr("transform(parts, p -> p[0][0])")).alias("k", "v")).select(
-        F.concat_ws("\x1f", "code", F.col("k").cast("string")).alias("id"), F.col("code").alias("pcode"), F.col("v.x").alias("px"), F.col("v.y").alias("py"))
-    points = reps.select(F.col("id").alias("code"), F.col("px").alias("minx"), F.col("py").alias("miny"), F.col("px").alias("maxx"), F.col("py").alias("maxy"))
-    near = meeting_boxes(points, boxes(areas)).select(F.col("code").alias("id"), F.col("other").alias("code"))
-    inside = (near.join(reps, "id").filter(F.col("code") != F.col("pcode"))
-              .join(areas.select("code", "parts"), "code")  # geometry only for pairs whose boxes allow it
+    v = areas.select("code", F.explode(F.expr("transform(parts, p -> p[0][0])")).alias("v"))
+    points = v.select("code", F.col("v.x").alias("minx"), F.col("v.y").alias("miny"), F.col("v.x").alias("maxx"), F.col("v.y").alias("maxy"))
+    near = meeting_boxes(points, boxes(areas), g, points=True).where("code != other").select(
+        F.col("code").alias("pcode"), F.col("other").alias("code"), F.col("x").alias("px"), F.col("y").alias("py"))
+    inside = (near.join(areas.select("code", "parts"), "code")  # geometry only for pairs whose boxes allow it
               .filter(F.expr(POINT_IN_POLYGON))
               .select(F.least("code", "pcode").alias("code"), F.greatest("code", "pcode").alias("nb")))
     one_way = touching.unionByName(inside).distinct()
