@@ -76,8 +76,11 @@ def q_landed_headers(spark, sf):
 def q_landed_rows_by_file(spark, sf):
     """The union of all months, each row with the file it comes from."""
     rows = src_epd.read_epd_csv(spark, _landed(spark, sf), keep_source=True)
-    return rows.groupBy(F.regexp_extract(src_epd.SOURCE_FILE, r"([^/]+)$", 1).alias("file"), "YEAR_MONTH").agg(
+    # the name is cut off, not searched: a pattern tried at every position of a path costs more than the row's scan
+    by_file = rows.groupBy(F.substring_index(src_epd.SOURCE_FILE, "/", -1).alias("file"), "YEAR_MONTH").agg(
         F.count("*").alias("n_rows"), F.sum("ITEMS").alias("items"), F.count(fx.FURTHER_COLUMN).alias("n_further"))
+    with src_epd.unpacked(spark):
+        return reg.materialize(by_file)  # a few rows a file
 
 
 def _lookup(spark, raw, key, **options):

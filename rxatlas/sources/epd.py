@@ -57,6 +57,13 @@ def _conf(spark: SparkSession, **values: str):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def unpacked(spark: SparkSession):
+    """While it holds, a scan puts no two files into one task. Packing goes by
+    bytes, so that a task gets many compressed months, which have ten times the
+    rows of plain ones of that size; large plain files are split as ever."""
+    return _conf(spark, **{"spark.sql.files.openCostInBytes": spark.conf.get("spark.sql.files.maxPartitionBytes")})
+
+
 def month_glob(years: list[int] | None = None, months: list[str] | None = None) -> str:
     """The file names of the given years, or of the given YYYYMM months."""
     if months is not None:

@@ -52,6 +52,19 @@ def test_headers_of_many_files_in_one_job(spark, tmp_dir):
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") != epd._WHOLE_FILE
 
 
+def test_files_are_named_without_a_pattern_and_not_packed(spark, tmp_dir, monkeypatch):
+    for k in range(1, 7):
+        land(tmp_dir, f"EPD_20300{k}.csv" + (".gz" if k % 2 else ""), *[(*row(f"20300{k}", k), "x")] * k, header=HDR.strip() + f",{fx.FURTHER_COLUMN}\n")
+    monkeypatch.setattr(rs, "_landed", lambda *_: tmp_dir)
+    seen, keep = [], rs.reg.materialize
+    monkeypatch.setattr(rs.reg, "materialize", lambda df: (seen.append((df._jdf.queryExecution().toString(), epd.read_epd_csv(spark, tmp_dir).rdd.getNumPartitions())),
+                                                             keep(df))[1])
+    got = sorted(tuple(r) for r in rs.q_landed_rows_by_file(spark, SF).select("file", "YEAR_MONTH", "n_rows", "items", "n_further").collect())
+    assert got == [(f"EPD_20300{k}.csv" + (".gz" if k % 2 else ""), f"20300{k}", k, k * k, k) for k in range(1, 7)]
+    assert "regexp" not in seen[0][0].lower() and seen[0][1] == 6
+    assert spark.conf.get("spark.sql.files.openCostInBytes") != spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+
 def test_rows_carry_their_file_and_repeated_headers_go(spark, tmp_dir):
     land(tmp_dir, "EPD_203001.csv", ("203001", 2), ("YEAR_MONTH", "ITEMS"), ("203001", 3), header="YEAR_MONTH,ITEMS\n")  # two deliveries put together
     land(tmp_dir, "EPD_203002.csv", (5, "203002", "x"), header="ITEMS,YEAR_MONTH,NOTE\n")
