@@ -24,7 +24,7 @@ from rxatlas.operators import manifest as mf
 from rxatlas.schemas import LEDGER
 from rxatlas.session import materialize
 from rxatlas.sources import storage
-from rxatlas.sources.epd import read_epd_csv
+from rxatlas.sources.epd import read_epd_csv, unpacked
 from rxatlas.sources.manifests import COMMIT, EMPTY, INTENT, append_manifest, ledger_rows, load_manifest, month_state
 
 log = logging.getLogger(__name__)
@@ -90,7 +90,8 @@ def begin_months(months: DataFrame, manifest_dir: str, run_id: str, medication_c
 def load_months(spark: SparkSession, landing_dir: str, target_dir: str, yms: list[str], medication_column: str, measure: str) -> None:
     """Group the given months (YYYYMM) and replace their partitions."""
     rows = read_epd_csv(spark, landing_dir, months=yms).filter(F.col("YEAR_MONTH").isin(yms))
-    grp.write_grouped(grp.group_month(rows, medication_column, measure), target_dir)
+    with unpacked(spark):
+        grp.write_grouped(grp.group_month(rows, medication_column, measure), target_dir)
 
 
 def commit_months(spark: SparkSession, months: DataFrame, target_dir: str, manifest_dir: str, run_id: str,

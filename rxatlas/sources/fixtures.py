@@ -29,7 +29,10 @@ def _practice_code(sk):
 def _epd_columns(spark: SparkSession, sf_dir: str):
     li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity",
                                                         "l_extendedprice", "l_shipdate")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
+    # what a part alone gives is made before the join: once a part, not once a prescription
+    part = table(spark, sf_dir, "part").select(
+        "p_partkey", F.initcap("p_name").alias("p_title"), "p_size",
+        F.concat_ws(" ", "p_name", "p_type", F.concat(F.col("p_size").cast("string"), F.lit("mg"))).alias("p_text"))
     j = li.join(part, li.l_partkey == part.p_partkey)
     sk = F.col("l_suppkey")
     ym = (F.year("l_shipdate") + 20) * 100 + F.month("l_shipdate")
@@ -38,9 +41,8 @@ def _epd_columns(spark: SparkSession, sf_dir: str):
         F.concat(F.lit("ab"), F.floor(sk / 10).cast("string"), F.lit(" "),
                  (sk % 10).cast("string"), F.lit("cd")).alias("POSTCODE"),
         ym.cast("string").alias("YEAR_MONTH"),
-        F.initcap("p_name").alias("CHEMICAL_SUBSTANCE_BNF_DESCR"),
-        F.concat_ws(" ", "p_name", "p_type", F.concat(F.col("p_size").cast("string"), F.lit("mg")))
-        .alias("BNF_DESCRIPTION"),
+        F.col("p_title").alias("CHEMICAL_SUBSTANCE_BNF_DESCR"),
+        F.col("p_text").alias("BNF_DESCRIPTION"),
         F.col("l_quantity").cast("bigint").alias("ITEMS"),
         (F.col("l_quantity") * F.col("p_size")).alias("TOTAL_QUANTITY"),
         F.col("l_extendedprice").alias("ACTUAL_COST"),

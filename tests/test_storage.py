@@ -65,6 +65,15 @@ def test_files_are_named_without_a_pattern_and_not_packed(spark, tmp_dir, monkey
     assert spark.conf.get("spark.sql.files.openCostInBytes") != spark.conf.get("spark.sql.files.maxPartitionBytes")
 
 
+def test_months_are_loaded_a_file_a_task(spark, tmp_dir, monkeypatch):
+    for k in range(1, 7):
+        land(f"{tmp_dir}/landing", f"EPD_20300{k}.csv.gz", *[row(f"20300{k}", k)] * 2)
+    tasks, write = [], grp.write_grouped
+    monkeypatch.setattr(grp, "write_grouped", lambda df, path: (tasks.append(epd.read_epd_csv(spark, f"{tmp_dir}/landing").rdd.getNumPartitions()), write(df, path)))
+    jobs.load_months(spark, f"{tmp_dir}/landing", f"{tmp_dir}/base", [f"20300{k}" for k in range(1, 7)], "CHEMICAL_SUBSTANCE_BNF_DESCR", "ITEMS")
+    assert tasks == [6] and base_table(spark, f"{tmp_dir}/base") == {(2030, k, "A"): 2 * k for k in range(1, 7)}
+
+
 def test_rows_carry_their_file_and_repeated_headers_go(spark, tmp_dir):
     land(tmp_dir, "EPD_203001.csv", ("203001", 2), ("YEAR_MONTH", "ITEMS"), ("203001", 3), header="YEAR_MONTH,ITEMS\n")  # two deliveries put together
     land(tmp_dir, "EPD_203002.csv", (5, "203002", "x"), header="ITEMS,YEAR_MONTH,NOTE\n")
