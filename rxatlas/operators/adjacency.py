@@ -223,32 +223,169 @@ def _edge_cells(e: DataFrame, g: float, hot_limit: int, max_splits: int) -> Data
     return ec
 
 
-def neighbour_pairs(areas: DataFrame, cell: float | None = None,
-                    hot_limit: int = HOT_CELL_EDGES, max_splits: int = MAX_SPLITS) -> DataFrame:
+INNER_SHARES = (1.0, 0.5, 0.25)
+
+
+def inner_boxes(areas: DataFrame) -> DataFrame:
+    """``areas`` with ``inner`` (minx, miny, maxx, maxy), a box that lies in the
+    area, and ``full``, whether that is the area's own box.
+
+    The largest of a few boxes around the centre of the area's box that no edge
+    enters, if the centre lies inside; null if there is none, or if the code
+    comes more than once.
+    """
+    v = F.flatten(F.flatten("parts"))
+    x, y = F.transform(v, lambda p: p["x"]), F.transform(v, lambda p: p["y"])
+    b = areas.select("code", "parts", F.array_min(x).alias("minx"), F.array_min(y).alias("miny"), F.array_max(x).alias("maxx"), F.array_max(y).alias("maxy"))
+    b = b.withColumn("px", (F.col("minx") + F.col("maxx")) / 2.0).withColumn("py", (F.col("miny") + F.col("maxy")) / 2.0)
+
+    def lo(axis, share):
+        return f"min{axis}" if share == 1.0 else f"p{axis} - {share}D * (p{axis} - min{axis})"
+
+    def hi(axis, share):
+        return f"max{axis}" if share == 1.0 else f"p{axis} + {share}D * (max{axis} - p{axis})"
+
+    def clear(share):
+        x0, y0, x1, y1 = lo("x", share), lo("y", share), hi("x", share), hi("y", share)
+        return F.expr(f"""px > {x0} AND px < {x1} AND py > {y0} AND py < {y1} AND NOT exists(flatten(parts), r -> exists(sequence(0, size(r) - 2), i ->
+          greatest(r[i].x, r[i + 1].x) > {x0} AND least(r[i].x, r[i + 1].x) < {x1} AND greatest(r[i].y, r[i + 1].y) > {y0} AND least(r[i].y, r[i + 1].y) < {y1}))""")
+
+    share = F.lit(None).cast("double")
+    for k in reversed(INNER_SHARES):
+        share = F.when(clear(k), F.lit(k)).otherwise(share)
+    b = b.withColumn("share", F.when(~F.isnan("px") & ~F.isnan("py") & F.expr(POINT_IN_POLYGON), share))
+    many = b.groupBy("code").count().where("count > 1").select("code", F.lit(True).alias("many"))
+    b = b.join(many, "code", "left").withColumn("share", F.when(F.col("many").isNull(), F.col("share")))
+    box = lambda k: F.expr(f"named_struct('minx', {lo('x', k)}, 'miny', {lo('y', k)}, 'maxx', {hi('x', k)}, 'maxy', {hi('y', k)})")
+    inner = F.lit(None).cast("struct<minx:double,miny:double,maxx:double,maxy:double>")
+    for k in INNER_SHARES:
+        inner = F.when(F.col("share") == k, box(k)).otherwise(inner)
+    return b.select("code", "parts", inner.alias("inner"), F.coalesce(F.col("share") == 1.0, F.lit(False)).alias("full"))
+
+
+def _share_a_point(a, b):
+    """Boxes a and b (column name prefixes) share a point."""
+    c = lambda t, k: F.col(f"{t}.{k}")
+    return ((c(a, "minx") <= c(b, "maxx")) & (c(b, "minx") <= c(a, "maxx")) & (c(a, "miny") <= c(b, "maxy")) & (c(b, "miny") <= c(a, "maxy")))
+
+
+BLOCK_BOXES = 2000
+TASK_TESTS = 20_000_000
+
+
+def _cell_pairs(home: DataFrame, probe: DataFrame, g: float) -> DataFrame:
+    """(code, nb), both directions, of the boxes of ``home`` and ``probe``
+    (code, box, own, L, cx, cy) that share a point, each pair once.
+
+    A pair counts in the one cell that holds the lower left corner of what the
+    boxes share, so no pair needs to be compared with the others. A cell of many
+    boxes is cut into blocks, each of one side joined with each of the other, and
+    the number of tasks follows the number of comparisons.
+    """
+    cell, n = ["L", "cx", "cy"], F.count("*")
+    met = home.groupBy(*cell).agg(n.alias("nh")).join(probe.groupBy(*cell).agg(n.alias("np")), cell)
+    met = materialize(met.select(*cell, F.ceil(F.col("nh") / BLOCK_BOXES).alias("bh"), F.ceil(F.col("np") / BLOCK_BOXES).alias("bp"),
+                                 (F.col("nh") * F.col("np")).cast("double").alias("tests")))
+    tests = met.agg(F.sum("tests")).first()[0] or 0.0
+    crowded = check_broadcastable(met.where("bh > 1 or bp > 1").drop("tests"))
+
+    def dealt(x, own, other):
+        x = x.join(crowded, cell, "left").withColumn(own, F.pmod(F.xxhash64("code"), F.coalesce(F.col(own), F.lit(1))))
+        return x.withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(other), F.lit(1)) - 1)))
+
+    h, p, on = dealt(home, "bh", "bp"), dealt(probe, "bp", "bh"), [*cell, "bh", "bp"]
+    if tests > TASK_TESTS:
+        tasks = min(int(tests // TASK_TESTS) + 1, 20_000)
+        h, p = h.repartition(tasks, *on), p.repartition(tasks, *on)
+    h, p, size = h.alias("h"), p.alias("p"), F.lit(float(g)) * F.pow(F.lit(2.0), F.col("p.L"))
+    here = ((F.floor(F.greatest("h.box.minx", "p.box.minx") / size).cast("bigint") == F.col("p.cx"))
+            & (F.floor(F.greatest("h.box.miny", "p.box.miny") / size).cast("bigint") == F.col("p.cy")))
+    once = (F.col("p.own") < F.col("h.own")) | (F.col("p.code") < F.col("h.code"))
+    j = p.join(h, [F.col(f"p.{c}") == F.col(f"h.{c}") for c in on]).where(_share_a_point("p.box", "h.box") & here & once)
+    both = F.array(*[F.struct(F.col(f"{a}.code").alias("code"), F.col(f"{b}.code").alias("nb")) for a, b in ("ph", "hp")])
+    return j.select(F.explode(both).alias("x")).select("x.code", "x.nb")
+
+
+def _settled_pairs(known: DataFrame) -> DataFrame | None:
+    """(code, nb) of the areas (code, inner, wanted) whose inner boxes share a
+    point, each pair once, both directions; of two areas that are not wanted, none."""
+    b = materialize(known.select("code", F.col("inner").alias("box"), "wanted", "inner.*"))
+    r = b.agg(F.min(F.when(_side() > 0, _side())).alias("lo"), F.max(_side()).alias("hi")).first()
+    if r.hi is None:
+        return None
+    g = max(r.lo or 1.0, (r.hi or 1.0) / 2.0 ** 40)
+    b = b.withColumn("own", _level(g))
+    levels = F.array(*[F.lit(x.own) for x in b.select("own").distinct().collect()]).cast("array<int>")  # a level for each doubling of the side
+
+    def home(x):
+        return _at_levels(x.withColumn("L", F.col("own")), g).select("code", "box", "own", "L", "cx", "cy")
+
+    def probe(x):
+        x = x.withColumn("L", F.explode(F.filter(levels, lambda k: k >= F.col("own"))))
+        return _at_levels(x, g).select("code", "box", "own", "L", "cx", "cy")
+
+    if not b.where("not wanted").limit(1).count():
+        return _cell_pairs(home(b), probe(b), g)
+    few, rest = b.where("wanted"), b.where("not wanted")
+    # a pair is found with its smaller box (of one level: its smaller code) as the probe, so it is in one of the three
+    return (_cell_pairs(home(few), probe(few), g).union(_cell_pairs(home(rest), probe(few), g))
+            .union(_cell_pairs(home(few), probe(rest), g)))
+
+
+def neighbour_pairs(areas: DataFrame, cell: float | None = None, hot_limit: int = HOT_CELL_EDGES, max_splits: int = MAX_SPLITS,
+                    only: DataFrame | None = None) -> DataFrame:
     """(code, nb) for every pair of areas that are not disjoint, both
-    directions, each area with itself included."""
-    e = edges(areas)
+    directions, each area with itself included. ``only`` (code): pairs of which
+    one is among these areas.
+
+    Pairs whose inner boxes share a point need no more, and are listed once as
+    they are found. The others are tested by their edges, but for pairs of areas
+    that are their own boxes.
+    """
+    known = inner_boxes(areas)
+    wanted = F.lit(True) if only is None else F.coalesce("wanted", F.lit(False))
+    if only is not None:
+        known = known.join(only.select("code", F.lit(True).alias("wanted")).distinct(), "code", "left")
+    known = materialize(known.withColumn("wanted", wanted))
+    out = known.where("wanted").select("code", F.col("code").alias("nb")).distinct()
+    settled = _settled_pairs(known.where("inner is not null and code is not null").drop("parts"))
+    if settled is not None:
+        out = out.unionByName(settled)
+    if known.where("not full").limit(1).count():
+        out = out.unionByName(_edge_pairs(known, cell, hot_limit, max_splits))
+    return out
+
+
+def _edge_pairs(known: DataFrame, cell: float | None, hot_limit: int, max_splits: int) -> DataFrame:
+    """The pairs of the areas (code, parts, inner, full, wanted) that their inner boxes don't settle."""
+    e = edges(known.select(F.struct("code", "inner", "full", "wanted").alias("code"), "parts"))
     g = float(cell) if cell else default_cell(e)
-    ec = _edge_cells(e, g, hot_limit, max_splits)
-    a, b = ec.alias("a"), ec.alias("b")
-    touching = (a.join(b, (F.col("a.L") == F.col("b.L")) & (F.col("a.cx") == F.col("b.cx"))
-                       & (F.col("a.cy") == F.col("b.cy")) & (F.col("a.code") < F.col("b.code")))
-                .filter(_segments_meet("a.s", "b.s"))
-                .select(F.col("a.code").alias("code"), F.col("b.code").alias("nb")).distinct())
+    ec = materialize(_edge_cells(e, g, hot_limit, max_splits))  # made once for both sides of the join
+
+    def unsettled(x, y):
+        return (F.col(f"{x}.wanted") | F.col(f"{y}.wanted")) & ~F.coalesce(_share_a_point(f"{x}.inner", f"{y}.inner"), F.lit(False))
+
+    a, b = ec.where("not code.full").alias("a"), ec.alias("b")
+    one, other = F.col("a.code.code"), F.col("b.code.code")
+    touching = (a.join(b, (F.col("a.L") == F.col("b.L")) & (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy"))
+                       & ((F.col("b.code.full") & (one != other)) | (one < other)))
+                .filter(unsettled("a.code", "b.code") & _segments_meet("a.s", "b.s"))
+                .select(F.least(one, other).alias("code"), F.greatest(one, other).alias("nb")).distinct())
 
     # containment without edge contact: one vertex per part, a box without
     # extent, against the other area's rings
-    v = areas.select("code", F.explode(F.expr("transform(parts, p -> p[0][0])")).alias("v"))
-    points = v.select("code", F.col("v.x").alias("minx"), F.col("v.y").alias("miny"), F.col("v.x").alias("maxx"), F.col("v.y").alias("maxy"))
-    near = meeting_boxes(points, boxes(areas), g, points=True).where("code != other").select(
+    v = known.select("code", "full", F.explode(F.expr("transform(parts, p -> p[0][0])")).alias("v"))
+    points = v.select("code", F.col("v.x").alias("minx"), F.col("v.y").alias("miny"), F.col("v.x").alias("maxx"), F.col("v.y").alias("maxy"), "full")
+    odd = known.where("not full")
+    near = meeting_boxes(points.where("not full").drop("full"), boxes(known), g, points=True).union(
+        meeting_boxes(points.where("full").drop("full"), boxes(odd), g, points=True)).where("code != other").select(
         F.col("code").alias("pcode"), F.col("other").alias("code"), F.col("x").alias("px"), F.col("y").alias("py"))
-    inside = (near.join(areas.select("code", "parts"), "code")  # geometry only for pairs whose boxes allow it
-              .filter(F.expr(POINT_IN_POLYGON))
+    y = known.select(F.col("code").alias("pcode"), F.struct("inner", "wanted").alias("y"))
+    inside = (near.join(known.select("code", "parts", F.struct("inner", "wanted").alias("x")), "code")  # geometry only for pairs whose boxes allow it
+              .filter(F.expr(POINT_IN_POLYGON)).drop("parts").join(y, "pcode").filter(unsettled("x", "y"))
               .select(F.least("code", "pcode").alias("code"), F.greatest("code", "pcode").alias("nb")))
     one_way = touching.unionByName(inside).distinct()
-    both = one_way.unionByName(one_way.select(F.col("nb").alias("code"), F.col("code").alias("nb")))
-    selfs = areas.select("code", F.col("code").alias("nb"))
-    return both.unionByName(selfs).distinct()
+    return one_way.unionByName(one_way.select(F.col("nb").alias("code"), F.col("code").alias("nb")))
 
 
 def boundary_digests(areas: DataFrame) -> DataFrame:

@@ -305,3 +305,51 @@ def test_update_joins_only_what_is_near(spark, monkeypatch):
     assert seen and seen[0] <= 6
     assert got == {(r.code, r.nb) for r in full(after).collect()}
     assert {(r.code, r.nb) for r in adj.update_pairs(before, stored, pairs).collect()} == {(r.code, r.nb) for r in pairs.collect()}
+
+
+def shapes(n, seed):
+    """Squares, triangles, squares with a hole, two-part areas; some within others, some within holes."""
+    rnd, out = random.Random(seed), []
+    for i in range(n):
+        x, y, s = float(rnd.randrange(0, 200)), float(rnd.randrange(0, 200)), float(rnd.choice([1, 3, 8, 20, 60]))
+        code, parts = square(f"a{i}", x, y, s)
+        if i % 4 == 1:
+            parts = [[[(x, y), (x + s, y), (x + s / 3, y + s), (x, y)]]]
+        elif i % 4 == 2:
+            parts = [[parts[0][0], square("", x + s / 4, y + s / 4, s / 2)[1][0][0]]]
+        elif i % 4 == 3:
+            parts = [parts[0], square("", x + 2 * s, y, s / 2)[1][0]]
+        out.append((code, parts))
+    return out
+
+
+def test_pairs_are_listed_once_whatever_the_blocks(spark, monkeypatch):
+    rows = shapes(120, 5) + [square("hole", 50, 50, 0.5), square("big", -10, -10, 500)]
+    areas = spark.createDataFrame(rows, AREA)
+    plain = adj.inner_boxes
+    with monkeypatch.context() as m:  # no inner box is known: every pair by its edges
+        m.setattr(adj, "inner_boxes", lambda a: plain(a).withColumn("inner", F.when(F.lit(False), F.col("inner"))).withColumn("full", F.lit(False)))
+        by_edges = sorted((r.code, r.nb) for r in adj.neighbour_pairs(areas).collect())
+    monkeypatch.setattr(adj, "BLOCK_BOXES", 3)
+    monkeypatch.setattr(adj, "TASK_TESTS", 100)
+    assert sorted((r.code, r.nb) for r in adj.neighbour_pairs(areas).collect()) == by_edges
+    full = {r.code for r in plain(areas).where("full").collect()}
+    assert {"a0", "big", "hole"} <= full and not full & {"a1", "a2", "a3"}
+    touched = {"a0", "a1", "a2", "a7", "hole"}
+    only = spark.createDataFrame([(c,) for c in touched], "code string")
+    assert sorted((r.code, r.nb) for r in adj.neighbour_pairs(areas, only=only).collect()) == [p for p in by_edges if touched & set(p)]
+
+
+def test_a_code_that_comes_twice_has_the_pairs_of_both(spark):
+    rows = [square("a", 0, 0, 10), square("a", 100, 0, 10), square("b", 5, 5, 10), square("c", 105, 5, 1), square("c", 105, 5, 1), square("d", 300, 0, 1)]
+    got = sorted((r.code, r.nb) for r in adj.neighbour_pairs(spark.createDataFrame(rows, AREA)).collect())
+    assert got == [("a", "a"), ("a", "b"), ("a", "c"), ("b", "a"), ("b", "b"), ("c", "a"), ("c", "c"), ("d", "d")]
+
+
+def test_pairs_of_squares_pass_no_shuffle(spark):
+    rows = [square(f"s{i}", 3 * (i % 20), 3 * (i // 20), 10) for i in range(200)]
+    pairs = adj.neighbour_pairs(spark.createDataFrame(rows, AREA))
+    got = sorted((r.code, r.nb) for r in pairs.collect())
+    assert got == sorted((a[0], b[0]) for a in rows for b in rows if all(abs(p - q) <= 10 for p, q in zip(a[1][0][0][0], b[1][0][0][0])))
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Union") == 0 and plan.count("Aggregate") == 1  # that of the areas themselves
