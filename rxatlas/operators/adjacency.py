@@ -404,13 +404,14 @@ def update_pairs(areas: DataFrame, stored_areas: DataFrame, stored_pairs: DataFr
     now = materialize(boundary_digests(areas))
     old = stored_areas.select("code", F.col("digest").alias("old"))
     changed = materialize(now.join(old, "code", "left").where(~F.col("digest").eqNullSafe(F.col("old"))).select("code"))
-    gone = old.join(now, "code", "left_anti").select("code").union(changed)
+    # what is gone is sent to the stored pairs: those stay where they are read
+    gone = check_broadcastable(materialize(old.join(now, "code", "left_anti").select("code").union(changed).distinct()))
     kept = stored_pairs.join(gone, "code", "left_anti").join(gone.withColumnRenamed("code", "nb"), "nb", "left_anti").select("code", "nb")
     if not changed.limit(1).count():
         return kept
     box = now.drop("digest")
     near = meeting_boxes(box.join(changed, "code", "left_semi"), box).select(F.col("other").alias("code")).distinct()
-    redone = neighbour_pairs(materialize(areas.join(near, "code", "left_semi")))
+    redone = neighbour_pairs(materialize(areas.join(near, "code", "left_semi")), only=changed)
     one, other = changed.withColumn("_a", F.lit(True)), changed.select(F.col("code").alias("nb"), F.lit(True).alias("_b"))
     redone = redone.join(one, "code", "left").join(other, "nb", "left").where("_a or _b").select("code", "nb")
     return kept.union(redone)
